@@ -1,0 +1,64 @@
+"""Joins that stay balanced when one key holds a large share of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# At most this many keys are treated as hot, which bounds what gets broadcast.
+MAX_HOT_KEYS = 128
+# A key is hot when it holds more than one row in this many. The sketch tracks
+# several times as many keys, so none that is hot by this measure goes unseen.
+SHARE = 256
+TRACKED = 2048
+# Below this many rows a single task copes with the key.
+MIN_HOT_ROWS = 1_000_000
+# Partial sketches are merged in this many groups before the last one.
+MERGE_GROUPS = 512
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Keys that hold an outsized share of ``df``, at most ``MAX_HOT_KEYS`` rows.
+
+    One pass over the key column builds a frequent-items sketch per task. The
+    sketches have a fixed size and are merged in two steps, so no task receives
+    one from every map task. The answer steers only how a join is executed.
+    """
+    keys = df.select(F.col(key).alias("item")).where(F.col("item").isNotNull())
+    groups = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    partial = keys.groupBy(groups.alias("merge_group")).agg(
+        F.expr(f"approx_top_k_accumulate(item, {TRACKED})").alias("sketch"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+    merged = partial.agg(
+        F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"),
+        F.sum("rows").alias("rows"),
+    )
+    frequent = merged.select(
+        F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")).alias("top"), "rows"
+    )
+    limit = F.greatest(F.col("rows") / SHARE, F.lit(min_rows))
+    return frequent.where(F.col("top.count") >= limit).select(F.col("top.item").alias(key))
+
+
+def join_on_unique(
+    rows: DataFrame,
+    unique: DataFrame,
+    key: str,
+    finish: Callable[[DataFrame], DataFrame] = lambda joined: joined,
+    min_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """Inner join of ``rows`` with ``unique``, which has one row per key.
+
+    Rows of ordinary keys are shuffled to their partner. Rows of hot keys stay
+    where they are and meet the few partners they need, one per hot key, as a
+    broadcast. ``finish`` runs on both parts before they are put together; it
+    may aggregate as long as the key is among its grouping columns.
+    """
+    hot = F.broadcast(hot_keys(rows, key, min_rows))
+    partners = unique.join(hot, key, "left_semi")
+    ordinary = rows.join(hot, key, "left_anti").join(unique, key)
+    spread = rows.join(F.broadcast(partners), key)
+    return finish(ordinary).unionByName(finish(spread))
