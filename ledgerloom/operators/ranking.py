@@ -24,7 +24,8 @@ def magnitude_bucket(value: Column) -> Column:
         power > STEPS_LOG2, F.call_function("shiftright", size, power - STEPS_LOG2)
     ).otherwise(F.call_function("shiftleft", size, F.greatest(STEPS_LOG2 - power, F.lit(0))))
     bucket = (power + 1) * (1 << STEPS_LOG2) + step
-    return F.when(value > 0, bucket).when(value < 0, -bucket).otherwise(F.lit(0).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    return F.when(value > 0, bucket).when(value < 0, -bucket).when(value == 0, zero)
 
 
 def with_rank(df: DataFrame, value: Column, name: str = "rank") -> DataFrame:

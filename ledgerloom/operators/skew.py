@@ -15,10 +15,20 @@ SHARE = 256
 TRACKED = 2048
 # Below this many rows a single task copes with the key.
 MIN_HOT_ROWS = 1_000_000
+# Inputs below this size cannot hold a group too large for one task, so the
+# pass that looks for hot keys is skipped.
+MIN_HOT_BYTES = 1 << 30
 # Partial sketches are merged in this many groups before the last one.
 MERGE_GROUPS = 512
 
 
+def estimated_bytes(df: DataFrame) -> float:
+    """Catalyst's size estimate of a plan, infinite where the session offers none."""
+    if not hasattr(df, "_jdf"):
+        return float("inf")
+    return float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Keys that hold an outsized share of ``df``, at most ``MAX_HOT_KEYS`` rows.
 
@@ -32,7 +42,8 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame
         F.expr(f"approx_top_k_accumulate(item, {TRACKED})").alias("sketch"),
         F.count(F.lit(1)).alias("rows"),
     )
-    merged = partial.agg(
+    # grouped by a constant so that an empty input has no sketch instead of a NULL one
+    merged = partial.groupBy(F.lit("all")).agg(
         F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"),
         F.sum("rows").alias("rows"),
     )
@@ -48,16 +59,19 @@ def join_on_unique(
     unique: DataFrame,
     key: str,
     finish: Callable[[DataFrame], DataFrame] = lambda joined: joined,
-    min_rows: int = MIN_HOT_ROWS,
+    min_rows: int | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` with ``unique``, which has one row per key.
 
     Rows of ordinary keys are shuffled to their partner. Rows of hot keys stay
     where they are and meet the few partners they need, one per hot key, as a
     broadcast. ``finish`` runs on both parts before they are put together; it
-    may aggregate as long as the key is among its grouping columns.
+    may aggregate as long as the key is among its grouping columns. ``min_rows``
+    sets what counts as hot and asks for the split at any input size.
     """
-    hot = F.broadcast(hot_keys(rows, key, min_rows))
+    if min_rows is None and estimated_bytes(rows) < MIN_HOT_BYTES:
+        return finish(rows.join(unique, key))
+    hot = F.broadcast(hot_keys(rows, key, MIN_HOT_ROWS if min_rows is None else min_rows))
     partners = unique.join(hot, key, "left_semi")
     ordinary = rows.join(hot, key, "left_anti").join(unique, key)
     spread = rows.join(F.broadcast(partners), key)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ class Catalog:
     def __init__(
         self,
         spark: SparkSession,
-        raw: dict[str, DataFrame],
+        raw: Mapping[str, DataFrame],
         as_of: dt.date | str | None = None,
         limits: Thresholds = Thresholds(),
     ):
@@ -30,9 +31,8 @@ class Catalog:
         self.as_of = as_of
         self.limits = limits
 
-    @cached_property
-    def clean(self) -> dict[str, DataFrame]:
-        return {t: cleaning.clean(self.raw[t], t, self.as_of) for t in TABLES}
+    def clean(self, table: str) -> DataFrame:
+        return cleaning.clean(self.raw[table], table, self.as_of)
 
     def quarantine(self, table: str) -> DataFrame:
         """Rejected rows with their reasons as one text."""
@@ -45,28 +45,28 @@ class Catalog:
 
     @cached_property
     def lifetime_value(self) -> DataFrame:
-        return marts.customer_lifetime_value(self.clean["orders"], self.clean["payments"])
+        return marts.customer_lifetime_value(self.clean("orders"), self.clean("payments"))
 
     @cached_property
     def customers_value(self) -> DataFrame:
-        return marts.known_customers_value(self.lifetime_value, self.clean["customers"])
+        return marts.known_customers_value(self.lifetime_value, self.clean("customers"))
 
     def top_customers(self) -> DataFrame:
-        return marts.top_customers(self.lifetime_value, self.clean["customers"])
+        return marts.top_customers(self.lifetime_value, self.clean("customers"))
 
     @cached_property
     def monthly_revenue(self) -> DataFrame:
-        return marts.monthly_revenue(self.clean["orders"], self.clean["payments"])
+        return marts.monthly_revenue(self.clean("orders"), self.clean("payments"))
 
     @cached_property
     def product_performance(self) -> DataFrame:
         return marts.product_performance(
-            self.clean["order_items"], self.clean["products"], self.clean["orders"]
+            self.clean("order_items"), self.clean("products"), self.clean("orders")
         )
 
     @cached_property
     def product_portfolio(self) -> DataFrame:
-        return dashboard.product_portfolio(self.product_performance, self.clean["products"])
+        return dashboard.product_portfolio(self.product_performance, self.clean("products"))
 
     def run_record(self, run_id: str, run_time: str) -> DataFrame:
         return runs.run_record(self.metrics, run_id, run_time)
@@ -80,7 +80,7 @@ class Catalog:
 
     def row_count_audit(self, run_history: DataFrame) -> DataFrame:
         """Row counts of the tables a run loads; ranking adds no rows, so it is left out."""
-        tables = {f"raw_clean.{t}": self.clean[t] for t in TABLES}
+        tables = {f"raw_clean.{t}": self.clean(t) for t in TABLES}
         tables["analytics.top_customers"] = self.customers_value
         tables["analytics.monthly_revenue"] = self.monthly_revenue
         tables["analytics.product_performance"] = self.product_performance

@@ -6,6 +6,8 @@ same rows. Used to exercise the rules; nothing here is part of the pipeline.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -147,17 +149,47 @@ def payments(source: DataFrame) -> DataFrame:
     )
 
 
-def retail_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The five raw tables from ``folder``'s customer, nation, part, orders and lineitem."""
-
-    def source(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-
-    tables = {
-        "customers": customers(source("customer"), source("nation")),
-        "products": products(source("part")),
-        "orders": orders(source("orders")),
-        "order_items": order_items(source("lineitem")),
-        "payments": payments(source("orders")),
-    }
-    return {name: tables[name].select(*RAW[name].fieldNames()) for name in RAW}
+# Columns read from the given tables; declaring them saves a schema job per read.
+SOURCE = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": (
+        "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+        "o_totalprice double, o_orderdate timestamp_ntz"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double"
+    ),
+}
+
+
+class RetailTables(Mapping):
+    """The five raw tables over a folder of star-schema Parquet, each planned when asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark = spark
+        self._folder = folder.rstrip("/")
+        self._build = {
+            "customers": (customers, "customer", "nation"),
+            "products": (products, "part"),
+            "orders": (orders, "orders"),
+            "order_items": (order_items, "lineitem"),
+            "payments": (payments, "orders"),
+        }
+
+    def _source(self, name: str) -> DataFrame:
+        return self._spark.read.schema(SOURCE[name]).parquet(f"{self._folder}/{name}.parquet")
+
+    def __getitem__(self, table: str) -> DataFrame:
+        build, *sources = self._build[table]
+        return build(*map(self._source, sources)).select(*RAW[table].fieldNames())
+
+    def __iter__(self):
+        return iter(self._build)
+
+    def __len__(self) -> int:
+        return len(self._build)

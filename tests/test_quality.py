@@ -1,0 +1,134 @@
+import pytest
+
+from ledgerloom.operators import quality
+from tests import rows as r
+
+
+def _metrics(spark, *rows):
+    return spark.createDataFrame(list(rows), "table string, metric string, value bigint")
+
+
+def _tables(spark):
+    return {
+        "customers": r.raw(
+            spark, "customers", r.customer("C1"), r.customer("C1"), r.customer(None), r.customer(None)
+        ),
+        "products": r.raw(spark, "products", r.product("P1"), r.product("P1"), r.product("P1")),
+        "orders": r.raw(spark, "orders", r.order("O1"), r.order("O2", customer_id="C9")),
+        "order_items": r.raw(
+            spark,
+            "order_items",
+            r.item("OI1"),
+            r.item("OI2", order_id="O7", product_id="P7"),
+            r.item("OI3", order_id="O7", product_id=None),
+        ),
+        "payments": r.raw(spark, "payments", r.payment("A"), r.payment("B", order_id="O8")),
+    }
+
+
+def test_report_has_23_rows_in_order(spark):
+    report = quality.report(_tables(spark), "2025-06-01").orderBy("position").collect()
+    assert len(report) == 23
+    # Rows of the quality report, in order.
+    assert [(row["table"], row["metric"]) for row in report] == [
+        ("customers", "total_records"),
+        ("customers", "null_customer_ids"),
+        ("customers", "null_names"),
+        ("customers", "invalid_emails"),
+        ("customers", "duplicate_customer_ids"),
+        ("products", "total_records"),
+        ("products", "null_product_ids"),
+        ("products", "negative_prices"),
+        ("products", "negative_stocks"),
+        ("products", "null_categories"),
+        ("orders", "total_records"),
+        ("orders", "null_order_ids"),
+        ("orders", "null_customer_ids"),
+        ("orders", "invalid_dates"),
+        ("orders", "future_dates"),
+        ("order_items", "total_records"),
+        ("order_items", "null_item_ids"),
+        ("order_items", "negative_prices"),
+        ("order_items", "negative_or_zero_quantities"),
+        ("payments", "total_records"),
+        ("payments", "null_payment_ids"),
+        ("payments", "null_order_ids"),
+        ("payments", "negative_or_zero_amounts"),
+    ]
+
+
+def test_a_missing_key_is_a_duplicate_key_too(spark):
+    rows = quality.table_metrics(_tables(spark)["customers"], "customers").collect()
+    values = {row["metric"]: row["value"] for row in rows}
+    assert values["total_records"] == 4
+    assert values["null_customer_ids"] == 2
+    assert values["duplicate_customer_ids"] == 2
+
+
+def test_metrics_of_empty_tables_are_zero(spark):
+    for table in ("customers", "payments"):
+        rows = quality.table_metrics(r.raw(spark, table), table).collect()
+        assert {row["value"] for row in rows} == {0}
+
+
+def test_duplicate_keys_of_every_table(spark):
+    got = {
+        row["table_name"]: (row["duplicate_keys"], row["surplus_rows"])
+        for row in quality.duplicate_keys(_tables(spark)).collect()
+    }
+    assert got == {
+        "customers": (2, 2),
+        "products": (1, 2),
+        "orders": (0, 0),
+        "order_items": (0, 0),
+        "payments": (0, 0),
+    }
+
+
+def test_orphan_keys(spark):
+    got = {
+        (row["child_table"], row["child_column"]): (row["orphan_keys"], row["orphan_rows"])
+        for row in quality.orphan_keys(_tables(spark)).collect()
+    }
+    assert got == {
+        ("orders", "customer_id"): (1, 1),
+        ("order_items", "order_id"): (1, 2),
+        ("order_items", "product_id"): (2, 2),
+        ("payments", "order_id"): (1, 1),
+    }
+
+
+@pytest.mark.parametrize(
+    "rows, errors, score",
+    [
+        (2851, 68, 97.61),
+        (0, 0, 100.0),
+        (3, 1, 66.67),
+        (3, 2, 33.33),
+        (8, 1, 87.5),
+        (2, 5, -150.0),
+        (3, 4, -33.33),
+        (100_000, 5, 100.0),  # 99.995 rounds up
+        (10**13, 1, 100.0),
+    ],
+)
+def test_score(spark, rows, errors, score):
+    metrics = _metrics(
+        spark,
+        ("a", "total_records", rows // 2),
+        ("b", "total_records", rows - rows // 2),
+        ("a", "null_ids", errors),
+    )
+    (row,) = quality.dq_score(metrics).collect()
+    assert tuple(row) == (rows, errors, score)
+
+
+def test_volumes_and_anomalies(spark):
+    metrics = _metrics(
+        spark, ("a", "total_records", 7), ("a", "null_ids", 0), ("a", "bad_dates", 2)
+    )
+    assert [tuple(row) for row in quality.table_volumes(metrics).collect()] == [("a", 7)]
+    assert {tuple(row) for row in quality.anomaly_breakdown(metrics).collect()} == {
+        ("a", "null_ids", 0, False),
+        ("a", "bad_dates", 2, True),
+    }
