@@ -29,12 +29,12 @@ def estimated_bytes(df: DataFrame) -> float:
     return float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Keys that hold an outsized share of ``df``, at most ``MAX_HOT_KEYS`` rows.
+def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> list:
+    """Keys that hold an outsized share of ``df``, at most ``MAX_HOT_KEYS`` of them.
 
     One pass over the key column builds a frequent-items sketch per task. The
     sketches have a fixed size and are merged in two steps, so no task receives
-    one from every map task. The answer steers only how a join is executed.
+    one from every map task.
     """
     keys = df.select(F.col(key).alias("item")).where(F.col("item").isNotNull())
     groups = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
@@ -51,7 +51,8 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame
         F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")).alias("top"), "rows"
     )
     limit = F.greatest(F.col("rows") / SHARE, F.lit(min_rows))
-    return frequent.where(F.col("top.count") >= limit).select(F.col("top.item").alias(key))
+    hot = frequent.where(F.col("top.count") >= limit).select("top.item")
+    return [row["item"] for row in hot.collect()]
 
 
 def join_on_unique(
@@ -65,14 +66,19 @@ def join_on_unique(
 
     Rows of ordinary keys are shuffled to their partner. Rows of hot keys stay
     where they are and meet the few partners they need, one per hot key, as a
-    broadcast. ``finish`` runs on both parts before they are put together; it
-    may aggregate as long as the key is among its grouping columns. ``min_rows``
-    sets what counts as hot and asks for the split at any input size.
+    broadcast. The hot keys are fixed before the plan is built, so each row
+    takes exactly one of the two ways; which one changes no result. ``finish``
+    runs on both parts before they are put together; it may aggregate as long as
+    the key is among its grouping columns. ``min_rows`` sets what counts as hot
+    and asks for the search at any input size.
     """
     if min_rows is None and estimated_bytes(rows) < MIN_HOT_BYTES:
+        hot = []
+    else:
+        hot = hot_keys(rows, key, MIN_HOT_ROWS if min_rows is None else min_rows)
+    if not hot:
         return finish(rows.join(unique, key))
-    hot = F.broadcast(hot_keys(rows, key, MIN_HOT_ROWS if min_rows is None else min_rows))
-    partners = unique.join(hot, key, "left_semi")
-    ordinary = rows.join(hot, key, "left_anti").join(unique, key)
-    spread = rows.join(F.broadcast(partners), key)
+    is_hot = F.col(key).isin(hot)
+    ordinary = rows.where(~is_hot).join(unique.where(~is_hot), key)
+    spread = rows.where(is_hot).join(F.broadcast(unique.where(is_hot)), key)
     return finish(ordinary).unionByName(finish(spread))

@@ -1,0 +1,49 @@
+"""Every registered query against its SQL on the given tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_point
+
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def database():
+    con = duckdb.connect()
+    for name in os.listdir(FOLDER):
+        table, _ = os.path.splitext(name)
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{name}'")
+    return con
+
+
+def _sorted_rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(repr(row[i]) for i in order) for row in rows)
+
+
+def test_every_query_has_sql():
+    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+
+
+@pytest.mark.parametrize("name", entry_point.queries())
+def test_query_equals_sql(spark, database, name):
+    df = entry_point.queries()[name](spark, FOLDER)
+    result = database.execute(entry_point.oracle_sql()[name])
+    columns = [column[0] for column in result.description]
+    assert sorted(df.columns) == sorted(columns)
+    rows = [tuple(row) for row in df.collect()]
+    assert _sorted_rows(df.columns, rows) == _sorted_rows(columns, result.fetchall())
+    plain = (str, int, float, bool, dt.date, type(None))
+    assert all(isinstance(value, plain) for row in rows for value in row)
+
+
+def test_entry_returns_rows(spark):
+    assert entry_point.entry(spark).limit(1).count() == 1

@@ -20,27 +20,26 @@ def _keyed(spark, rows, hot_share=3):
 
 
 def test_hot_keys_are_found(spark):
-    found = skew.hot_keys(_keyed(spark, 60_000), "key", min_rows=100).collect()
-    assert {row["key"] for row in found} == {"HOT", "WARM"}
+    assert set(skew.hot_keys(_keyed(spark, 60_000), "key", min_rows=100)) == {"HOT", "WARM"}
 
 
 def test_unique_keys_are_not_hot(spark):
     df = spark.range(50_000).select(F.col("id").cast("string").alias("key"))
-    assert skew.hot_keys(df, "key", min_rows=100).count() == 0
+    assert skew.hot_keys(df, "key", min_rows=100) == []
 
 
 def test_few_rows_are_never_hot(spark):
-    assert skew.hot_keys(_keyed(spark, 1_000), "key").count() == 0
+    assert skew.hot_keys(_keyed(spark, 1_000), "key") == []
 
 
 def test_missing_keys_are_not_hot(spark):
     df = spark.range(10_000).select(F.lit(None).cast("string").alias("key"))
-    assert skew.hot_keys(df, "key", min_rows=1).count() == 0
+    assert skew.hot_keys(df, "key", min_rows=1) == []
 
 
 def test_number_of_hot_keys_is_bounded(spark):
     df = spark.range(100_000).select((F.col("id") % 200).cast("string").alias("key"))
-    assert skew.hot_keys(df, "key", min_rows=1).count() <= skew.MAX_HOT_KEYS
+    assert len(skew.hot_keys(df, "key", min_rows=1)) == skew.MAX_HOT_KEYS
 
 
 @pytest.mark.parametrize("min_rows", [None, 50, 1_000_000])
@@ -69,15 +68,43 @@ def test_finish_aggregates_each_part(spark):
     assert {row["key"]: row["total"] for row in summed.collect()} == dict(expected)
 
 
-def test_small_inputs_are_joined_directly(spark):
+def _searched(monkeypatch):
+    calls = []
+    search = skew.hot_keys
+    monkeypatch.setattr(skew, "hot_keys", lambda *args: calls.append(args) or search(*args))
+    return calls
+
+
+def test_small_inputs_are_joined_directly(spark, monkeypatch):
+    calls = _searched(monkeypatch)
     rows = _keyed(spark, 3_000)
-    joined = skew.join_on_unique(rows, rows.select("key").distinct(), "key")
-    assert "approx_top_k" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert skew.join_on_unique(rows, rows.select("key").distinct(), "key").count() == 3_000
+    assert not calls
 
 
 def test_large_inputs_are_searched_for_hot_keys(spark, monkeypatch):
+    calls = _searched(monkeypatch)
     monkeypatch.setattr(skew, "MIN_HOT_BYTES", 1)
-    rows = _keyed(spark, 3_000)
+    monkeypatch.setattr(skew, "MIN_HOT_ROWS", 100)
+    rows = _keyed(spark, 30_000)
     joined = skew.join_on_unique(rows, rows.select("key").distinct(), "key")
-    assert "approx_top_k" in joined._jdf.queryExecution().optimizedPlan().toString()
-    assert joined.count() == 3_000
+    assert len(calls) == 1
+    assert joined.count() == 30_000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "strategy=broadcast" in plan
+
+
+def test_the_hot_part_is_not_shuffled(spark, monkeypatch):
+    """The rows of hot keys reach their partners by a broadcast of those partners only."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = _keyed(spark, 30_000)
+        unique = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        joined = skew.join_on_unique(rows, unique, "key", min_rows=100)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+        # two for the ordinary part, one to sum up the broadcast partners
+        assert plan.count("Exchange hashpartitioning") == 3
+        assert joined.agg(F.sum("n")).first()[0] == 10_000**2 + 2_000**2 + 18_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
