@@ -119,31 +119,56 @@ def duplicate_keys(raw: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(table) for table in TABLES])
 
 
-# (child table, child column, parent table); the parent column is its key
-REFERENCES = (
-    ("orders", "customer_id", "customers"),
-    ("order_items", "order_id", "orders"),
-    ("order_items", "product_id", "products"),
-    ("payments", "order_id", "orders"),
-)
+# Parent table and the (child table, child column) pairs that refer to its key.
+REFERENCES = {
+    "customers": (("orders", "customer_id"),),
+    "products": (("order_items", "product_id"),),
+    "orders": (("order_items", "order_id"), ("payments", "order_id")),
+}
 
 
-def orphan_keys(cleaned: Mapping[str, DataFrame]) -> DataFrame:
-    """Clean rows, and distinct keys, that refer to no clean row of the parent table.
+def _orphans_of(
+    cleaned: Mapping[str, DataFrame], parent: str, children: tuple[tuple[str, str], ...]
+) -> DataFrame:
+    """Orphans among all references to one parent.
 
-    Both sides are reduced to one row per key before they meet, so a hot key
-    weighs no more than any other. A NULL reference is an orphan too.
+    Parent and children are stacked and counted per key, which needs one
+    shuffle of partial counts and no join; a hot key is one row per task.
     """
+    names = [f"rows_{i}" for i in range(len(children))]
 
-    def one(child: str, column: str, parent: str) -> DataFrame:
-        used = cleaned[child].groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-        known = cleaned[parent].select(F.col(PRIMARY_KEY[parent]).alias(column)).distinct()
-        return used.join(known, column, "left_anti").agg(
-            F.lit(child).alias("child_table"),
+    def keys(table: str, column: str, mark: str) -> DataFrame:
+        marks = [F.lit(int(n == mark)).cast("bigint").alias(n) for n in ["known", *names]]
+        return cleaned[table].select(F.col(column).alias("key"), *marks)
+
+    stacked = reduce(
+        DataFrame.unionByName,
+        [keys(t, c, n) for (t, c), n in zip(children, names)],
+        keys(parent, PRIMARY_KEY[parent], "known"),
+    )
+    per_key = stacked.groupBy("key").agg(*[F.sum(n).alias(n) for n in ["known", *names]])
+    unknown = per_key.where(F.col("known") == 0)
+    totals = unknown.agg(
+        *[F.count_if(F.col(n) > 0).alias(f"{n}_keys") for n in names],
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
+    )
+    entries = [
+        F.struct(
+            F.lit(table).alias("child_table"),
             F.lit(column).alias("child_column"),
             F.lit(parent).alias("parent_table"),
-            F.count(F.lit(1)).alias("orphan_keys"),
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows"),
+            F.col(f"{n}_keys").alias("orphan_keys"),
+            F.col(n).alias("orphan_rows"),
         )
+        for (table, column), n in zip(children, names)
+    ]
+    return totals.select(F.inline(F.array(*entries)))
+
 
-    return reduce(DataFrame.unionByName, [one(*reference) for reference in REFERENCES])
+def orphan_keys(cleaned: Mapping[str, DataFrame]) -> DataFrame:
+    """Clean rows, and distinct keys, that refer to no clean row of the parent table.
+
+    A NULL reference is an orphan too.
+    """
+    parts = [_orphans_of(cleaned, parent, children) for parent, children in REFERENCES.items()]
+    return reduce(DataFrame.unionByName, parts)

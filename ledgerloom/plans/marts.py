@@ -96,10 +96,11 @@ def clv_leaderboard(lifetime_value: DataFrame, customers: DataFrame, size: int =
 
 
 def monthly_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Revenue and paid orders per month."""
-    by_month = orders.withColumn("order_month", month_of(F.col("order_date")))
-    return _revenue_by(by_month, payments, "order_month").select(
-        "order_month",
+    """Revenue and paid orders per month; its first day is the key until the end,
+    which shuffles and hashes as a number."""
+    by_month = orders.withColumn("month", F.trunc("order_date", "month"))
+    return _revenue_by(by_month, payments, "month").select(
+        month_of(F.col("month")).alias("order_month"),
         money(F.col("paid")).alias("revenue"),
         F.col("orders").alias("orders_count"),
     )

@@ -1,0 +1,123 @@
+"""Shapes of the physical plans: what reaches the scan, what is shuffled, what never happens."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_point
+from ledgerloom.operators import quality
+from ledgerloom.plans import marts
+from ledgerloom.plans.catalog import Catalog
+from ledgerloom.schemas import RAW, TABLES
+from tests import rows as r
+
+ROWS = {
+    "customers": r.customer("C1"),
+    "products": r.product("P1"),
+    "orders": r.order("O1"),
+    "order_items": r.item("I1"),
+    "payments": r.payment("A1"),
+}
+
+
+@pytest.fixture(scope="module")
+def raw(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("raw")
+    for table, row in ROWS.items():
+        r.raw(spark, table, row).coalesce(1).write.parquet(f"{folder}/{table}")
+    return {t: spark.read.schema(RAW[t]).parquet(f"{folder}/{t}") for t in TABLES}
+
+
+@pytest.fixture
+def catalog(spark, raw):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield Catalog(spark, raw, "2025-06-01", entry_point.LIMITS)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", entry_point.PLANS)
+def test_no_row_pairs_and_no_python(catalog, name):
+    plan = _plan(entry_point.PLANS[name](catalog))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Arrow"):
+        assert operator not in plan
+
+
+@pytest.mark.parametrize("table", TABLES)
+def test_metrics_scan_each_table_once(raw, table):
+    assert _plan(quality.table_metrics(raw[table], table)).count("FileScan") == 1
+
+
+def test_filters_and_columns_reach_the_scan(spark, catalog):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2_000)
+    plan = _plan(catalog.clean("payments").select("order_id", "amount"))
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan).group(1)
+    assert "GreaterThan(amount,0.00)" in pushed and "Not(EqualTo(order_id,))" in pushed
+    assert "payment_method" not in re.search(r"ReadSchema: (\S+)", plan).group(1)
+
+
+def test_lifetime_value_shuffles_each_side_once(catalog):
+    plan = _plan(catalog.lifetime_value)
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert plan.count("FileScan") == 2 and plan.count("SortMergeJoin") == 1
+
+
+def test_known_customers_join_adds_no_shuffle(catalog):
+    """Lifetime value and profiles are both aggregated, hence partitioned, by customer."""
+    assert _plan(catalog.customers_value).count("Exchange hashpartitioning") == 4
+
+
+def test_months_travel_as_dates(catalog):
+    plan = _plan(catalog.monthly_revenue)
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    assert sorted(keys) == ["month", "order_id", "order_id"]
+
+
+def test_rank_never_gathers_the_rows(catalog):
+    """Only bucket counts go to one partition: below that exchange, rows are counted twice."""
+    plan = _plan(catalog.top_customers())
+    assert plan.count("SinglePartition") == 1
+    below = plan.split("SinglePartition", 1)[1]
+    assert below.lstrip().splitlines()[1].strip(" :+-").startswith("HashAggregate(keys=[bucket#")
+
+
+def test_leaderboard_uses_a_top_k(catalog):
+    plan = _plan(marts.clv_leaderboard(catalog.lifetime_value, catalog.clean("customers")))
+    assert "TakeOrderedAndProject(limit=15" in plan
+
+
+def test_adaptive_execution_splits_a_dominant_order(spark):
+    """Paying one order 200,000 times fills one partition, which is read by several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        orders = spark.range(4_000).select(
+            F.concat(F.lit("O"), "id").alias("order_id"),
+            F.lit("C1").alias("customer_id"),
+            F.lit("Delivered").alias("status"),
+        )
+        payments = spark.range(400_000, numPartitions=8).select(
+            F.col("id").cast("string").alias("payment_id"),
+            F.when(F.col("id") % 2 == 0, "O7")
+            .otherwise(F.concat(F.lit("O"), (F.col("id") % 4_000).cast("string")))
+            .alias("order_id"),
+        )
+        joined = marts.order_payments(orders, payments)
+        assert len(joined.collect()) == 400_000
+        assert "skew=true" in _plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
