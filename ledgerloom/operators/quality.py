@@ -30,31 +30,53 @@ def _as_rows(totals: DataFrame, table: str, metrics: list[str]) -> DataFrame:
     return totals.select(F.inline(F.array(*entries)))
 
 
-def table_metrics(df: DataFrame, table: str, as_of: dt.date | str | None = None) -> DataFrame:
-    """All metrics of one raw table from a single pass over it.
+def _totals(df: DataFrame, table: str, counts: list[Column]) -> DataFrame:
+    """One row: the given counts and, where the key must be unique, the repeated keys.
 
     With a uniqueness check the counts are taken per key first and then summed,
-    so the duplicate count shares the scan of the other metrics.
+    so the duplicate count shares the scan of the others.
     """
-    rules = rules_for(table, as_of)
-    names = [TOTAL] + [rule.metric for rule in rules]
-    counts: list[Column] = [F.count(F.lit(1)).alias(TOTAL)]
-    counts += [F.count_if(rule.violated).alias(rule.metric) for rule in rules]
     if table not in UNIQUE_METRIC:
-        return _as_rows(df.agg(*counts), table, names)
-
-    duplicates = UNIQUE_METRIC[table]
+        return df.agg(*counts)
     per_key = df.groupBy(PRIMARY_KEY[table]).agg(*counts)
-    totals = per_key.agg(
+    names = [name for name in per_key.columns if name != PRIMARY_KEY[table]]
+    return per_key.agg(
         *[F.sum(name).alias(name) for name in names],
-        F.count_if(F.col(TOTAL) > 1).alias(duplicates),
+        F.count_if(F.col(TOTAL) > 1).alias(UNIQUE_METRIC[table]),
     )
-    return _as_rows(totals, table, names + [duplicates])
 
 
-def report(raw: Mapping[str, DataFrame], as_of: dt.date | str | None = None) -> DataFrame:
+def table_metrics(
+    df: DataFrame,
+    table: str,
+    as_of: dt.date | str | None = None,
+    rejected: DataFrame | None = None,
+) -> DataFrame:
+    """All metrics of one raw table from a single pass over it.
+
+    ``rejected`` may name the table's stored quarantine. Whatever a rule counts
+    it also rejects, so the rules are then counted on those few rows and the raw
+    table only gives its number of rows and its keys.
+    """
+    rules = rules_for(table, as_of)
+    total = F.count(F.lit(1)).alias(TOTAL)
+    hits = [F.count_if(rule.violated).alias(rule.metric) for rule in rules]
+    names = [TOTAL] + [rule.metric for rule in rules]
+    names += [UNIQUE_METRIC[table]] if table in UNIQUE_METRIC else []
+    if rejected is None:
+        return _as_rows(_totals(df, table, [total, *hits]), table, names)
+    both = _totals(df, table, [total]).unionByName(rejected.agg(*hits), allowMissingColumns=True)
+    return _as_rows(both.agg(*[F.sum(name).alias(name) for name in names]), table, names)
+
+
+def report(
+    raw: Mapping[str, DataFrame],
+    as_of: dt.date | str | None = None,
+    rejected: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
     """Metrics of all tables with the position of each row in the report."""
-    parts = [table_metrics(raw[table], table, as_of) for table in TABLES]
+    stored = rejected or {}
+    parts = [table_metrics(raw[table], table, as_of, stored.get(table)) for table in TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 

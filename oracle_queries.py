@@ -19,9 +19,8 @@ raw_customers AS (
          CASE WHEN c_custkey % 97 = 42 THEN ''
               WHEN n_name = 'NATION_0' THEN 'USA'
               WHEN n_name = 'NATION_1' THEN 'UK' ELSE n_name END AS country
-  FROM (SELECT * FROM customer
-        UNION ALL
-        SELECT * FROM customer WHERE c_custkey % 97 IN (10, 15)) c
+  FROM (SELECT *, unnest(CASE WHEN c_custkey % 97 IN (10, 15) THEN [1, 2] ELSE [1] END) AS copy
+        FROM customer) c
   JOIN nation ON c_nationkey = n_nationkey),
 raw_products AS (
   SELECT 'P' || p_partkey AS product_id, p_name AS product_name,
@@ -54,18 +53,19 @@ raw_order_items AS (
               ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END AS price
   FROM lineitem),
 raw_payments AS (
-  SELECT CASE WHEN o_orderkey % 1000 = 333 THEN '' ELSE 'PAY' || o_orderkey END AS payment_id,
+  SELECT CASE WHEN part = 2 THEN 'PAYB' || o_orderkey
+              WHEN o_orderkey % 1000 = 333 THEN '' ELSE 'PAY' || o_orderkey END AS payment_id,
          'O' || o_orderkey AS order_id,
-         CASE o_orderkey % 4 WHEN 0 THEN 'Credit Card' WHEN 1 THEN 'PayPal'
-                             WHEN 2 THEN 'Debit Card' ELSE 'Bank Transfer' END AS payment_method,
-         CASE WHEN o_orderkey % 200 = 50 THEN CAST(-50 AS DECIMAL(12,2))
+         CASE WHEN part = 2 THEN 'PayPal' WHEN o_orderkey % 4 = 0 THEN 'Credit Card'
+              WHEN o_orderkey % 4 = 1 THEN 'PayPal' WHEN o_orderkey % 4 = 2 THEN 'Debit Card'
+              ELSE 'Bank Transfer' END AS payment_method,
+         CASE WHEN part = 2 THEN CAST(10.01 AS DECIMAL(12,2))
+              WHEN o_orderkey % 200 = 50 THEN CAST(-50 AS DECIMAL(12,2))
               WHEN o_orderkey % 200 = 75 THEN CAST(0 AS DECIMAL(12,2))
               WHEN o_orderkey % 200 = 60 THEN NULL
               ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS amount
-  FROM orders
-  UNION ALL
-  SELECT 'PAYB' || o_orderkey, 'O' || o_orderkey, 'PayPal', CAST(10.01 AS DECIMAL(12,2))
-  FROM orders WHERE o_orderkey % 10 = 3)
+  FROM (SELECT *, unnest(CASE WHEN o_orderkey % 10 = 3 THEN [1, 2] ELSE [1] END) AS part
+        FROM orders))
 """
 
 CLEAN = f"""
