@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
         **{
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(folder / "checkpoints"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
