@@ -6,9 +6,7 @@ session that somebody else has built.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -34,22 +32,20 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="ledgerloom-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder of this machine.
-    """
+    """Folder that every executor can reach: ``spark.checkpoint.dir``, else the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted when the application ends."""
+    path = f"{shared_folder(spark)}/ledgerloom/{label}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def materialize(df, label: str):
@@ -59,6 +55,6 @@ def materialize(df, label: str):
     executors and later reads prune columns and know the real size.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/ledgerloom/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
