@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, pii, quality_rules, secret_scan, spans
+from ledgerloom.llm import compression_classifier, decontaminate, pii, quality_rules, secret_scan, spans
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,23 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_counts(found, secret_scan.BASE)
 
 
+def fold(n: int = 5) -> Column:
+    """crc32(doc_id as text) mod ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op10_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = compression_classifier.fit(docs, labels.where(fold() != 0))
+    scored = compression_classifier.classify(docs, model)
+    return scored.select(
+        "doc_id",
+        (fold() == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -60,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_quality_rules,
         op4_pii,
         op6_secret_scan,
+        op10_compression_classifier,
     )
 }
 

@@ -1,0 +1,73 @@
+"""Held-out accuracy on made-up good and bad texts, and every odd input."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import compression_classifier as c
+from ledgerloom.llm import queries
+from tests.llm.helpers import ODD, documents
+
+
+def corpus(n=600, seed=3):
+    rng = random.Random(seed)
+    syllables = ["ba", "do", "ki", "lu", "men", "ra", "sto", "ti", "ver", "zan"]
+    lexicon = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(400)]
+    docs, labels = [], []
+    for i in range(n):
+        words = rng.choices(lexicon, k=rng.randint(30, 200))
+        good = rng.random() < 0.7
+        if not good:
+            words = [f"{w}{rng.choice(['##', '$$', '!!'])}" for w in words]
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(good)))
+    return docs, labels
+
+
+def label_table(spark, labels):
+    return spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def test_held_out_accuracy_and_the_query(spark, tmp_path):
+    docs, labels = corpus()
+    docs += [(1000 + i, t) for i, (_, t) in enumerate(ODD)]
+    documents(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    label_table(spark, labels).write.parquet(f"{tmp_path}/labels.parquet")
+    rows = queries.op10_compression_classifier(spark, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(i for i, _ in docs)
+    truth = dict(labels)
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3)
+    held = [r["predicted"] == truth[r["doc_id"]] for r in rows if r["held_out"] and r["doc_id"] in truth]
+    assert len(held) > 80 and np.mean(held) > 0.97
+
+
+def test_held_out_labels_change_nothing(spark, tmp_path):
+    docs, labels = corpus(150)
+    found = []
+    for flip in (0, 1):
+        known = [(i, y ^ flip if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, y in labels]
+        folder = f"{tmp_path}/{flip}"
+        documents(spark, docs).write.parquet(f"{folder}/documents.parquet")
+        label_table(spark, known).write.parquet(f"{folder}/labels.parquet")
+        rows = queries.op10_compression_classifier(spark, folder).collect()
+        found.append({r["doc_id"]: r["score"] for r in rows})
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("labels", [[], [(4, 1), (6, 1)], [(4, None), (None, 0), (6, 0), (6, 1)]])
+def test_without_two_classes_the_score_is_a_constant(spark, labels):
+    docs = documents(spark, ODD)
+    model = c.fit(docs, label_table(spark, labels))
+    rows = c.classify(docs, model).collect()
+    assert len(rows) == len(ODD) and len({r["score"] for r in rows}) == 1
+
+
+def test_empty_table(spark):
+    model = c.fit(documents(spark, []), label_table(spark, []))
+    assert c.classify(documents(spark, []), model).count() == 0
