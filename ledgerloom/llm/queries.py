@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import compression_classifier, decontaminate, pii, quality_rules, secret_scan, spans
+from ledgerloom.llm import (
+    compression_classifier,
+    decontaminate,
+    pii,
+    quality_rules,
+    secret_scan,
+    spans,
+    token_files,
+)
+from ledgerloom.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +62,20 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_counts(found, secret_scan.BASE)
 
 
+def public_tokenizer(name: str) -> str:
+    """Where this machine has one of the public tokenizer files."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write(docs, path, public_tokenizer("byte_bpe_50k.json"))
+    return token_files.documents(spark.read.parquet(path))
+
+
 def fold(n: int = 5) -> Column:
     """crc32(doc_id as text) mod ``n``."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
@@ -77,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_quality_rules,
         op4_pii,
         op6_secret_scan,
+        op7_token_files,
         op10_compression_classifier,
     )
 }
