@@ -13,6 +13,7 @@ from ledgerloom.llm import (
     pii,
     quality_rules,
     secret_scan,
+    sentencepiece_backend,
     spans,
     token_files,
 )
@@ -76,6 +77,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents(spark.read.parquet(path))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, model = table(spark, sf_dir, "documents"), public_tokenizer("piece_bpe_32k.model")
+    return sentencepiece_backend.encode(docs, model, with_ids=False)
+
+
 def fold(n: int = 5) -> Column:
     """crc32(doc_id as text) mod ``n``."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_pii,
         op6_secret_scan,
         op7_token_files,
+        op9_sentencepiece,
         op10_compression_classifier,
     )
 }

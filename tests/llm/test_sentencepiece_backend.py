@@ -1,0 +1,116 @@
+"""Ids and texts against the sentencepiece library, for BPE and unigram models."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from sentencepiece import sentencepiece_model_pb2 as pb
+
+from ledgerloom.llm import queries
+from ledgerloom.llm import sentencepiece_backend as b
+from tests.llm.helpers import ODD, PROSE, documents
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def unigram_model(byte_fallback=True, strip=False, inner=False):
+    """A small unigram model written by hand; nothing is trained."""
+    m = pb.ModelProto()
+
+    def add(piece, score, kind):
+        m.pieces.add(piece=piece, score=score, type=kind)
+
+    add("<unk>", 0, 2)
+    add("<s>", 0, 3)
+    add("</s>", 0, 3)
+    if byte_fallback:
+        for i in range(256):
+            add(f"<0x{i:02X}>", 0, 6)
+    for k, piece in enumerate(["▁", "▁the", "the", "t", "h", "e", "▁t", "er", "r", "o", "ther", "▁o", "é", "▁▁", ".", "hero"]):
+        add(piece, -1.37 * (k % 5) - 0.731 * k - 1, 1)
+    if inner:
+        add("e▁t", -1.1, 1)
+    m.trainer_spec.model_type = 1
+    m.trainer_spec.byte_fallback = byte_fallback
+    m.normalizer_spec.name = "identity"
+    m.normalizer_spec.remove_extra_whitespaces = strip
+    m.normalizer_spec.add_dummy_prefix = True
+    return m.SerializeToString()
+
+
+def mixed(seed, n, parts):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(n)]
+
+
+PARTS = ["the", "▁", "  ", " ", " ", "é", "日本", "\n", "\t", "<s>", "<unk>", "</s>", "<0x0A>", "😀", "ther", "o", ".", "1234"]
+
+
+def ids(row):
+    return np.frombuffer(row[0], "<u4").tolist()
+
+
+def test_bpe_equals_sentencepiece():
+    data = open(PATH, "rb").read()
+    own, want = b.Encoder(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    assert own.model.separable
+    texts = mixed(1, 3000, PARTS) + [t or "" for _, t in ODD]
+    for text, row in zip(texts, own.encode(texts), strict=True):
+        assert ids(row) == want.encode(text) and row[1], repr(text)
+        assert own.model.decode(row[0]) == text.replace("▁", " "), repr(text)
+
+
+@pytest.mark.parametrize("options", [{}, {"byte_fallback": False}, {"strip": True}, {"inner": True}])
+def test_unigram_equals_sentencepiece(options):
+    data = unigram_model(**options)
+    own, want = b.Encoder(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    assert own.model.separable == (not options or options == {"byte_fallback": False})
+    letters = ["the", "t", "h", "e", "r", "o", " ", " ", ".", "é"]
+    texts = mixed(2, 1500, letters if options else letters + ["日", "\n", "x"])
+    texts = [t for t in texts if not options.get("strip") or t.strip(" ")]
+    for text, row in zip(texts, own.encode(texts), strict=True):
+        assert ids(row) == want.encode(text) and row[1], repr(text)
+
+
+def test_parity_is_found_broken_when_it_is():
+    data = open(PATH, "rb").read()
+    own = b.Encoder(data)
+    own._check = sentencepiece.SentencePieceProcessor(model_proto=unigram_model())
+    assert not own.encode(["the harbour"])[0][1]
+
+
+def test_encode_then_decode(spark):
+    docs = documents(spark, [*ODD, *enumerate(mixed(3, 200, PARTS), 100)])
+    encoded = b.encode(docs, PATH)
+    want = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    texts = {**dict(ODD), **dict(enumerate(mixed(3, 200, PARTS), 100))}
+    rows = encoded.collect()
+    assert len(rows) == len(ODD) + 200
+    for r in rows:
+        text = texts[r["doc_id"]] or ""
+        assert r["ids"] == want.encode(text) and r["parity"]
+        assert r["n_tokens"] == len(r["ids"])
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+        assert r["round_trip"] == ("▁" not in text)
+    for r in b.decode(encoded, PATH).collect():
+        assert r["text"] == (texts[r["doc_id"]] or "").replace("▁", " ")
+
+
+def test_query_and_empty_table(spark, tmp_path):
+    documents(spark, [(1, PROSE), (2, None)]).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op9_sentencepiece(spark, str(tmp_path)).collect()
+    assert [(r["n_tokens"] > 0, r["parity"], r["round_trip"]) for r in sorted(rows)] == [
+        (True, True, True),
+        (False, True, True),
+    ]
+    assert b.encode(documents(spark, []), PATH).count() == 0
+
+
+def test_broken_model_file():
+    with pytest.raises(ValueError):
+        b.Model.parse(b"\x0b\x0c")
