@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import (
     compression_classifier,
     decontaminate,
+    lm_scoring,
     pii,
     quality_rules,
     secret_scan,
@@ -33,6 +34,11 @@ def _span_counts(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     )
 
 
+def fold(n: int = 5) -> Column:
+    """crc32(doc_id as text) mod ``n``; a NULL id counts as the empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(n))
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_leaks(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -58,6 +64,19 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_counts(pii.find_pii(table(spark, sf_dir, "documents")), pii.BASE)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_scoring.score(table(spark, sf_dir, "documents"), fold() != 1)
+    return scored.select(
+        "doc_id",
+        (~F.col("training")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
     return _span_counts(found, secret_scan.BASE)
@@ -82,11 +101,6 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_backend.encode(docs, model, with_ids=False)
 
 
-def fold(n: int = 5) -> Column:
-    """crc32(doc_id as text) mod ``n``."""
-    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
-
-
 def op10_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = compression_classifier.fit(docs, labels.where(fold() != 0))
@@ -105,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_decontamination,
         op3_quality_rules,
         op4_pii,
+        op5_lm_scoring,
         op6_secret_scan,
         op7_token_files,
         op9_sentencepiece,
