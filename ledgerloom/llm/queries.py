@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import (
     compression_classifier,
     decontaminate,
+    jaccard_join,
     lm_scoring,
     pii,
     quality_rules,
@@ -96,6 +97,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents(spark.read.parquet(path))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, model = table(spark, sf_dir, "documents"), public_tokenizer("piece_bpe_32k.model")
     return sentencepiece_backend.encode(docs, model, with_ids=False)
@@ -122,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_lm_scoring,
         op6_secret_scan,
         op7_token_files,
+        op8_jaccard_join,
         op9_sentencepiece,
         op10_compression_classifier,
     )
