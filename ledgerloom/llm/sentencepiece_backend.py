@@ -21,17 +21,21 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerloom.llm.common import per_text
+from ledgerloom.llm import parts
+from ledgerloom.llm.common import per_text, ship
 
 MARK = "▁"
-CACHED = 400_000
 
 # Fixed values of the model's format: kinds of pieces and of models.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -175,14 +179,21 @@ class Model:
         )
         return backend
 
-    def decode(self, ids: bytes | np.ndarray) -> str:
+    @property
+    def line(self) -> int | None:
+        """The id that stands for a line feed and for nothing else, if there is one."""
+        if not self.byte_fallback or any("\n" in p for p in self.pieces):
+            return None
+        return self.pieces.index("<0x0A>")
+
+    def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces joined, bytes as UTF-8, markers as spaces, the first one cut."""
-        table = self._table()
-        text = b"".join(map(table.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        text = b"".join(map(self.table().__getitem__, ids.tolist()))
         out = text.decode("utf-8", "replace").replace(MARK, " ")
         return out[1:] if self.dummy_prefix and out[:1] == " " else out
 
-    def _table(self) -> list[bytes]:
+    def table(self) -> list[bytes]:
+        """What each id adds to the text."""
         if "_pieces" not in self.__dict__:
             self._pieces = [
                 bytes([int(p[3:-1], 16)]) if k == BYTE else b"" if k == CONTROL else p.encode()
@@ -191,10 +202,24 @@ class Model:
         return self._pieces
 
 
+@dataclass
+class Encoded:
+    """Ids of some texts one after the other, and per text: how many, parity, round trip."""
+
+    ids: np.ndarray
+    size: np.ndarray
+    parity: np.ndarray
+    round_trip: np.ndarray
+
+
 class Encoder:
     """Ids of texts by the rebuilt tokenizer, compared with sentencepiece when asked."""
 
-    def __init__(self, data: bytes, threads: int = 1, verify: bool = True):
+    def __init__(
+        self, data: bytes, threads: int = 1, verify: bool = True, limit: int = parts.CACHED
+    ):
+        from tokenizers import Tokenizer, pre_tokenizers
+
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         self.model = Model.parse(data)
@@ -205,46 +230,108 @@ class Encoder:
             import sentencepiece
 
             self._check = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self._parts: dict[str, tuple[bytes, bool]] = {}
-
-    def _encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """Ids and whether sentencepiece agrees. An empty text has no ids."""
+        self._line = self.model.line
+        if self._line is not None:
+            # parts as the normaliser leaves them go to the model, a line feed between them
+            self._model = Tokenizer(self._tokenizer.model)
+            self._model.pre_tokenizer = pre_tokenizers.Split("\n", "isolated")
+        self._known = parts.Known(self._learn, limit)
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and how many of each text. An empty text has none."""
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = [f.ids if t else [] for f, t in zip(found, texts, strict=True)]
-        same = [True] * len(texts)
+        rows = [np.array(f.ids if t else [], np.uint32) for f, t in zip(found, texts, strict=True)]
+        size = np.array([len(x) for x in rows], np.int64)
+        return np.concatenate([np.empty(0, np.uint32), *rows]), size
+
+    def _line_ids(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for parts without line feeds."""
+        ids = array("I")
+        written = parts.lines((MARK + p).replace(" ", MARK) for p in new)
+        for x in self._model.encode_batch_fast(written, add_special_tokens=False):
+            ids.extend(x.ids)
+        return parts.unlined(np.frombuffer(ids, np.uint32), self._line)
+
+    def _same(self, texts: list[str], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether sentencepiece gives each text the same ids."""
+        same = np.ones(len(texts), bool)
         if self._check:
             want = self._check.encode(texts, num_threads=self._threads)
-            same = [a == b for a, b in zip(ids, want, strict=True)]
-        return [(np.array(x, "<u4").tobytes(), ok) for x, ok in zip(ids, same, strict=True)]
-
-    def split(self, text: str) -> list[str]:
-        """Parts of a text; each lacks the one space (or the marker of the start) before it."""
-        text = text.replace(MARK, " ")
-        if "  " not in text and text[:1] != " " and text[-1:] != " ":
-            return text.split(" ")
-        return [p[1:] for p in re.findall(" +[^ ]*", " " + text)]
-
-    def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """For each text its ids (little-endian unsigned 32-bit) and whether parity holds."""
-        if not self.model.separable:
-            return self._encode(texts)
-        split = [self.split(t) if t else [] for t in texts]
-        known = self._parts
-        new = list({p for parts in split for p in parts if p not in known})
-        if len(known) + len(new) > CACHED:
-            known.clear()
-            new = list({p for parts in split for p in parts})
-        # a part that is empty here is a marker alone
-        filled = [p for p in new if p]
-        known.update(zip(filled, self._encode(filled), strict=True))
-        if "" not in known:
-            mark = self.model.pieces.index(MARK) if MARK in self.model.pieces else None
-            known[""] = (np.array([mark], "<u4").tobytes(), True) if mark else (b"", False)
-        out = []
-        for parts in split:
-            rows = [known[p] for p in parts]
-            out.append((b"".join([r[0] for r in rows]), all(r[1] for r in rows)))
-        return out
+            if [len(w) for w in want] == size.tolist():
+                flat = np.fromiter(chain.from_iterable(want), np.uint32, len(ids))
+                if np.array_equal(flat, ids):
+                    return same
+            for k, (w, x) in enumerate(zip(want, np.split(ids, np.cumsum(size)[:-1]), strict=True)):
+                same[k] = w == x.tolist()
+        return same
+
+    def _back(self, texts: list[str], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the ids of each text decode to it."""
+        rows = np.split(ids, np.cumsum(size)[:-1])
+        return np.array([self.model.decode(x) == t for x, t in zip(rows, texts, strict=True)], bool)
+
+    def _parts_back(self, new: list[str], ids: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The same for parts; all at once if, as nearly always, all are right."""
+        want = [(MARK + p.replace(" ", MARK)).encode() for p in new]
+        table = self.model.table()
+        if size.all() and b"".join(map(table.__getitem__, ids.tolist())) == b"".join(want):
+            length = np.array([len(x) for x in table])[ids]
+            if np.add.reduceat(length, np.cumsum(size) - size).tolist() == [len(x) for x in want]:
+                return np.ones(len(new), bool)
+        return self._back(new, ids, size)
+
+    def _learn(self, new: list[str]):
+        """See ``parts.Learn``; the marks are 1 for parity and 2 for the round trip."""
+        lined = [p for p in new if p and "\n" not in p and self._line is not None]
+        other = [p for p in new if p and ("\n" in p or self._line is None)]
+        found = [(np.empty(0, np.uint32), np.empty(0, np.int64))]
+        if lined:
+            found.append(self._line_ids(lined))
+        if other:
+            found.append(self._ids(other))
+        named = lined + other
+        ids, size = (np.concatenate(x) for x in zip(*found, strict=True))
+        marks = np.empty(0, np.uint8)
+        if named:
+            marks = self._same(named, ids, size) + 2 * self._parts_back(named, ids, size)
+        if "" in new:  # the marker alone
+            mark = [self.model.pieces.index(MARK)] if MARK in self.model.pieces else []
+            named, ids = [*named, ""], np.append(ids, mark)
+            size, marks = np.append(size, len(mark)), np.append(marks, 3 * len(mark))
+        return named, ids, size, marks
+
+    def encode(self, texts: list[str]) -> Encoded:
+        if not texts or not self.model.separable:
+            ids, size = self._ids(texts)
+            return Encoded(ids, size, self._same(texts, ids, size), self._back(texts, ids, size))
+        # each part lacks the one space, or the marker of the start, that stands before it
+        flat = [t.replace(MARK, " ") if MARK in t else t for t in texts]
+        odd = [
+            k for k, t in enumerate(flat) if "  " in t or t[:1] == " " or t[-1:] == " " or not t
+        ]
+        rows = {k: [p[1:] for p in re.findall(" +[^ ]*", " " + flat[k])] if flat[k] else [] for k in odd}
+        place, different, begins = parts.split(
+            pa.array(["" if k in rows else t for k, t in enumerate(flat)], pa.string())
+        )
+        extra = list({p for r in rows.values() for p in r} - set(different))
+        number = self._known.numbers(different + extra)
+        at = {p: n for p, n in zip(different + extra, number.tolist(), strict=True)} if rows else {}
+        number = number[place]
+        n_parts = np.diff(begins, append=len(number))
+        nothing = len(self._known.size)  # a part without ids, which ends each text
+        if rows:
+            pieces = np.split(number, begins[1:])
+            for k, r in rows.items():
+                pieces[k] = np.array([at[p] for p in r], np.int64)
+            number, n_parts = np.concatenate(pieces), np.array([len(x) for x in pieces])
+        number = np.insert(number, np.cumsum(n_parts), nothing)
+        n_parts = n_parts + 1
+        size = np.append(self._known.size, 0)
+        ids, n_ids = parts.gather(self._known.ids, size, number, n_parts)
+        opens = np.cumsum(n_parts) - n_parts
+        marks = np.bitwise_and.reduceat(np.append(self._known.marks, 3)[number], opens)
+        plain = np.array([MARK not in t for t in texts])
+        return Encoded(ids, n_ids, marks & 1 > 0, (marks & 2 > 0) & plain)
 
 
 _kept: dict[tuple, Encoder] = {}
@@ -284,19 +371,19 @@ def encode(
         encoder = _encoder(data.value, threads, verify)
 
         def compute(texts: list[str]) -> list[pa.Array]:
-            rows = encoder.encode(texts)
-            ids = [r[0] for r in rows]
-            back = [encoder.model.decode(x) == t for x, t in zip(ids, texts, strict=True)]
+            found = encoder.encode(texts)
+            ends = np.cumsum([0, *found.size])
+            data = memoryview(found.ids.astype("<u4").tobytes())
+            crc = [zlib.crc32(data[4 * s : 4 * e]) for s, e in zip(ends, ends[1:], strict=False)]
             out = [
-                pa.array([len(x) // 4 for x in ids], pa.int64()),
-                pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-                pa.array([r[1] for r in rows]),
-                pa.array(back),
+                pa.array(found.size, pa.int64()),
+                pa.array(crc, pa.int64()),
+                pa.array(found.parity),
+                pa.array(found.round_trip),
             ]
             if with_ids:
-                ends = np.cumsum([0, *(len(x) // 4 for x in ids)])
-                values = np.frombuffer(b"".join(ids), "<i4")
-                out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)))
+                values = pa.array(found.ids.astype(np.int32))
+                out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
             return out
 
         return compute
@@ -308,11 +395,6 @@ def decode(
     tokens: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids"
 ) -> DataFrame:
     """Per row: the id and the ``text`` of its ids, by the library's decoder; NULL ids as none."""
-    from pyspark.sql import functions as F
-    from pyspark.sql import types as T
-
-    from ledgerloom.llm.common import ship
-
     spark = tokens.sparkSession
     ship(spark)
     with open(model_path, "rb") as f:

@@ -51,18 +51,25 @@ def mixed(seed, n, parts):
 PARTS = ["the", "▁", "  ", " ", " ", "é", "日本", "\n", "\t", "<s>", "<unk>", "</s>", "<0x0A>", "😀", "ther", "o", ".", "1234"]
 
 
-def ids(row):
-    return np.frombuffer(row[0], "<u4").tolist()
+def rows(encoded):
+    """Per text: ids, parity, round trip."""
+    ends = np.cumsum(encoded.size)
+    ids = [x.tolist() for x in np.split(encoded.ids, ends[:-1])]
+    return zip(ids, encoded.parity, encoded.round_trip, strict=True)
 
 
-def test_bpe_equals_sentencepiece():
+@pytest.mark.parametrize("limit", [b.parts.CACHED, 50])
+def test_bpe_equals_sentencepiece(limit):
     data = open(PATH, "rb").read()
-    own, want = b.Encoder(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+    own, want = b.Encoder(data, limit=limit), sentencepiece.SentencePieceProcessor(model_proto=data)
     assert own.model.separable
     texts = mixed(1, 3000, PARTS) + [t or "" for _, t in ODD]
-    for text, row in zip(texts, own.encode(texts), strict=True):
-        assert ids(row) == want.encode(text) and row[1], repr(text)
-        assert own.model.decode(row[0]) == text.replace("▁", " "), repr(text)
+    for at in range(0, len(texts), 100):
+        some = texts[at : at + 100]
+        for text, (ids, parity, back) in zip(some, rows(own.encode(some)), strict=True):
+            assert ids == want.encode(text) and parity, repr(text)
+            assert own.model.decode(np.array(ids, np.int64)) == text.replace("▁", " "), repr(text)
+            assert back == ("▁" not in text)
 
 
 @pytest.mark.parametrize("options", [{}, {"byte_fallback": False}, {"strip": True}, {"inner": True}])
@@ -73,15 +80,20 @@ def test_unigram_equals_sentencepiece(options):
     letters = ["the", "t", "h", "e", "r", "o", " ", " ", ".", "é"]
     texts = mixed(2, 1500, letters if options else letters + ["日", "\n", "x"])
     texts = [t for t in texts if not options.get("strip") or t.strip(" ")]
-    for text, row in zip(texts, own.encode(texts), strict=True):
-        assert ids(row) == want.encode(text) and row[1], repr(text)
+    for text, (ids, parity, back) in zip(texts, rows(own.encode(texts)), strict=True):
+        assert ids == want.encode(text) and parity, repr(text)
+        assert back == (own.model.decode(np.array(ids, np.int64)) == text)
 
 
 def test_parity_is_found_broken_when_it_is():
     data = open(PATH, "rb").read()
     own = b.Encoder(data)
     own._check = sentencepiece.SentencePieceProcessor(model_proto=unigram_model())
-    assert not own.encode(["the harbour"])[0][1]
+    found = own.encode(["the harbour", ""])
+    assert found.parity.tolist() == [False, True]
+    own = b.Encoder(data)
+    own.model.table()[own.model.pieces.index("▁the")] = b"??"
+    assert own.encode(["x the", "x"]).round_trip.tolist() == [False, True]
 
 
 def test_encode_then_decode(spark):
