@@ -15,7 +15,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,13 +58,15 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """``batch`` in pieces of about SLICE_BYTES of ``column``, so that memory stays bounded."""
+def slices(
+    batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of about ``most`` bytes of ``column``, so that memory stays bounded."""
     sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_pylist()
     start = total = 0
     for i, size in enumerate(sizes):
         total += size
-        if total >= SLICE_BYTES:
+        if total >= most:
             yield batch.slice(start, i + 1 - start)
             start, total = i + 1, 0
     if start < batch.num_rows:
@@ -75,6 +77,25 @@ def texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch["text"].to_pylist()]
 
 
+def text_column(
+    text: Column, sql_type: str, make: Callable[[], Callable[[list[str]], pa.Array]]
+) -> Column:
+    """A column computed from a text column in place, so that rows keep what else they have.
+
+    ``make`` runs once per Python worker and use; its function sees a slice of texts at a time.
+    """
+    made: list = []
+
+    def run(column: pa.Array) -> pa.Array:
+        if not made:
+            made.append(make())
+        batch = pa.RecordBatch.from_arrays([column], ["text"])
+        parts = [made[0](texts(piece)) for piece in slices(batch)]
+        return pa.concat_arrays(parts) if parts else made[0]([])
+
+    return F.arrow_udf(run, sql_type)(text.cast("string"))
+
+
 def per_text(
     docs: DataFrame,
     columns: dict[str, str],

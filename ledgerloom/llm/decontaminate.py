@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import id_and_text, ship, slices, texts
+from ledgerloom.llm.common import id_and_text, ship, slices, text_column, texts
 
 GRAM, WINDOW = 5, 6
 SPAN = GRAM + WINDOW - 1
@@ -294,3 +294,31 @@ def find_leaks(
     whole = merged.mapInArrow(joined, merged.schema)
     copies = F.explode(F.sequence(F.lit(1), "copies")).alias("copy")
     return whole.select(id_col, "n_words", "hits", "items", copies).drop("copy")
+
+
+def without_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The rows of ``docs`` without a hit, with all their columns. No row is moved.
+
+    Every block of the benchmark is a filter of its own.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    for block in blocks(benchmark, item_col, item_text_col, block_words):
+        shared = spark.sparkContext.broadcast(block)
+
+        def make(shared=shared):
+            def hit(texts: list[str]) -> pa.Array:
+                spans, _ = shared.value.search([words(t) for t in texts])
+                return pa.array([bool(x) for x in spans])
+
+            return hit
+
+        docs = docs.where(~text_column(F.col(f"`{text_col}`"), "boolean", make))
+    return docs

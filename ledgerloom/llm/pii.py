@@ -20,9 +20,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import spans
-from ledgerloom.llm.common import per_text
+from ledgerloom.llm.common import per_text, ship, text_column
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
 BASE = ("email", "ip", "card", "phone")
@@ -209,3 +210,15 @@ def find_pii(
 
     columns = {"spans": spans.SQL, "scores": "array<double>", "redacted": "string"}
     return per_text(docs, columns, make, id_col, text_col)
+
+
+def without_pii(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with the spans of each text replaced by their kinds; a NULL text stays NULL."""
+    ship(docs.sparkSession)
+
+    def make():
+        return lambda texts: pa.array([redact(t, scan(t, threshold)) for t in texts], pa.string())
+
+    text = F.col(f"`{text_col}`")
+    clean = F.when(text.isNotNull(), text_column(text, "string", make))
+    return docs.withColumn(text_col, clean)

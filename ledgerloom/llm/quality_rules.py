@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import per_text
+from ledgerloom.llm.common import per_text, ship, text_column
 from ledgerloom.session import materialize
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -88,14 +88,12 @@ def measure(text: str) -> tuple[int, ...]:
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id and the counts that the rules read."""
 
-    def make():
-        def compute(texts: list[str]) -> list[pa.Array]:
-            columns = zip(*map(measure, texts), strict=True)
-            return [pa.array(c, pa.int64()) for c in columns]
+    return per_text(docs, FEATURES, lambda: _columns, id_col, text_col)
 
-        return compute
 
-    return per_text(docs, FEATURES, make, id_col, text_col)
+def _columns(texts: list[str]) -> list[pa.Array]:
+    rows = np.array([measure(t) for t in texts], np.int64).reshape(-1, len(FEATURES))
+    return [pa.array(c) for c in rows.T]
 
 
 def base_failed() -> Column:
@@ -175,17 +173,30 @@ class LabelModel:
     def posterior(self, votes: list[Column]) -> Column:
         """P(good | votes) as a column: 1 / (1 + the sum of the other classes' odds)."""
         if_bad, if_good = self.weights()
-        odds = F.lit(0.0)
-        for k in range(1, len(self.prior)):
-            log = F.lit(float(np.log(self.prior[k] / self.prior[0])))
-            for j, v in enumerate(votes):
-                log += (
-                    F.when(v == 0, float(if_bad[k, j] - if_bad[0, j]))
-                    .when(v == 1, float(if_good[k, j] - if_good[0, j]))
-                    .otherwise(0.0)
+        # by class and rule, for a vote of -1, 0 and 1
+        odds = np.stack([np.zeros_like(if_bad), if_bad - if_bad[0], if_good - if_good[0]], 2)
+        first = np.log(self.prior / self.prior[0])
+        table = F.array(
+            *[
+                F.struct(
+                    F.lit(float(first[k])).alias("first"),
+                    F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in odds[k]]).alias("odds"),
                 )
-            odds += F.exp(log)
-        return 1 / (1 + odds)
+                for k in range(1, len(self.prior))
+            ]
+        )
+
+        def of(cast: Column) -> Column:
+            """For the array of votes, which is bound here so that it is computed once."""
+
+            def log(k: Column) -> Column:
+                part = F.zip_with(k["odds"], cast, lambda row, v: F.get(row, v + 1))
+                return F.aggregate(part, k["first"], lambda total, x: total + x)
+
+            others = F.aggregate(table, F.lit(0.0), lambda total, k: total + F.exp(log(k)))
+            return 1 / (1 + others)
+
+        return F.get(F.transform(F.array(F.array(*votes)), of), F.lit(0))
 
 
 def start(n_rules: int) -> LabelModel:
@@ -217,6 +228,26 @@ def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> LabelModel:
     return model
 
 
+def learn(counted: DataFrame, rules: tuple[Rule, ...] = RULES) -> LabelModel:
+    """The label model of a table with FEATURES."""
+    votes = [f"vote_{r.name}" for r in rules]
+    cast = counted.select(*[r.vote().alias(v) for r, v in zip(rules, votes, strict=True)])
+    patterns = cast.groupBy(*votes).count().collect()  # at most 3**rules rows
+    table = np.array([list(p)[:-1] for p in patterns], int).reshape(-1, len(rules))
+    return fit(table, np.array([p["count"] for p in patterns], int))
+
+
+def _judged(counted: DataFrame, model: LabelModel, rules: tuple[Rule, ...]) -> DataFrame:
+    posterior = model.posterior([r.vote() for r in rules])
+    return counted.withColumns(
+        {
+            "base_failed": base_failed(),
+            "posterior": posterior,
+            "kept": ~base_failed() & (posterior >= 0.5),
+        }
+    )
+
+
 def judge(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -228,18 +259,26 @@ def judge(
     The texts are read once; their counts are stored in the shared folder, because
     both the estimate and the verdict need them.
     """
-    votes = [f"vote_{r.name}" for r in rules]
-    counted = materialize(features(docs, id_col, text_col), "quality").select(
-        "*", *[r.vote().alias(v) for r, v in zip(rules, votes, strict=True)]
-    )
-    patterns = counted.groupBy(*votes).count().collect()  # at most 3**rules rows
-    table = np.array([list(p)[:-1] for p in patterns], int).reshape(-1, len(rules))
-    model = fit(table, np.array([p["count"] for p in patterns], int))
-    posterior = model.posterior([F.col(v) for v in votes])
-    return counted.select(
-        id_col,
-        *FEATURES,
-        base_failed().alias("base_failed"),
-        posterior.alias("posterior"),
-        (~base_failed() & (posterior >= 0.5)).alias("kept"),
+    counted = materialize(features(docs, id_col, text_col), "quality")
+    return _judged(counted, learn(counted, rules), rules)
+
+
+def keep(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns.
+
+    Texts are measured twice, once for the estimate and once in place; no row is moved.
+    """
+    ship(docs.sparkSession)
+    text = F.col(f"`{text_col}`")
+    kind = ",".join(f"{n}:{t}" for n, t in FEATURES.items())
+
+    def make():
+        return lambda texts: pa.StructArray.from_arrays(_columns(texts), list(FEATURES))
+
+    measured = docs.select(text_column(text, f"struct<{kind}>", make).alias("m")).select("m.*")
+    model = learn(materialize(measured, "quality"), rules)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        text_column(text, f"struct<{kind}>", make).alias("m"),
     )
+    return _judged(rows.select("row", "m.*"), model, rules).where("kept").select("row.*")

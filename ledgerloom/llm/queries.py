@@ -18,6 +18,8 @@ from ledgerloom.llm import (
     sentencepiece_backend,
     spans,
     token_files,
+    url_filters,
+    url_list,
 )
 from ledgerloom.session import scratch_path
 
@@ -57,6 +59,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = url_filters.evaluate(url_list.captures(pages), url_list.events(pages))
+    return found.withColumn("fetched", F.col("fetched").cast("string"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -122,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination,
+        op2_url_filters,
         op3_quality_rules,
         op4_pii,
         op5_lm_scoring,
@@ -133,4 +142,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_url_filters": url_list.oracle()}
