@@ -21,22 +21,23 @@ scored as often as they occur.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm import ppm
-from ledgerloom.llm.common import lower_words, ship, slices, texts
+from ledgerloom.llm.common import ship, slices, texts
 from ledgerloom.session import materialize
 
 ORDER = 4
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 BLOCK_NODES = 2_000_000
 
 
@@ -194,25 +195,43 @@ def _unpacked(table: pa.Table) -> Iterator[tuple[list, list[bool], list[str]]]:
         yield row["ids"], row["training"], found
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    import xxhash
+@dataclass
+class _Words:
+    """Words of some texts: the different ones by hash, and each word's place and text."""
 
-    h = xxhash.xxh3_64_intdigest
-    return np.fromiter(map(h, words), np.uint64, len(words)).astype(np.int64)
+    hashes: np.ndarray
+    place: np.ndarray
+    text: np.ndarray
+
+    @classmethod
+    def of(cls, found: list[str]) -> _Words:
+        from xxhash import xxh3_64_intdigest
+
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(found, pa.string())))
+        numbered = parts.flatten().dictionary_encode()
+        place = numbered.indices.to_numpy()
+        words = numbered.dictionary.cast(pa.binary()).to_pylist()
+        text = np.repeat(np.arange(len(found)), np.diff(parts.offsets.to_numpy()))
+        if b"" in words:  # before white space at a start, after it at an end
+            full = place != words.index(b"")
+            place, text = place[full], text[full]
+        hashes = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+        return cls(hashes.astype(np.int64), place, text)
 
 
 def _vocabulary(table: pa.Table) -> pa.Table:
     """Distinct words of a chunk, and how often each is in its training texts."""
-    learnt: Counter = Counter()
-    other: set = set()
-    for _, training, found in _unpacked(table):
-        for mark, text in zip(training, found, strict=True):
-            (learnt if mark else other).update(lower_words(text))
-    words = [*learnt, *(other - learnt.keys())]
-    times = np.zeros(len(words), np.int64)
-    times[: len(learnt)] = list(learnt.values())
-    chunk = table["chunk"][0].as_py()
-    columns = [pa.array(_hashes(words)), pa.array(np.full(len(words), chunk, np.int32)), pa.array(times)]
+    training, found = [], []
+    for _, marks, some in _unpacked(table):
+        training += marks
+        found += some
+    words = _Words.of(found)
+    n = len(words.hashes)
+    learnt = np.array(training, bool)[words.text]
+    times = np.bincount(words.place[learnt], minlength=n)
+    met = np.bincount(words.place, minlength=n) > 0  # not the empty one
+    chunk = np.full(int(met.sum()), table["chunk"][0].as_py(), np.int32)
+    columns = [pa.array(words.hashes[met]), pa.array(chunk), pa.array(times[met])]
     return pa.table(columns, ["word", "chunk", "n"])
 
 
@@ -276,23 +295,22 @@ def score(
         known, c = known[place], c[place].astype(float)
         log = np.log10(c + 0.5)
         end = float(np.log10(n_ends + 0.5))
-        number: dict[bytes, int] = {}  # of a word among ``known``
-        ids, marks, n_tokens, n_known, base, total = [], [], [], [], [], []
+        ids, marks, every, total = [], [], [], []
         for row_ids, row_marks, found in _unpacked(left):
             ids += row_ids
             marks += row_marks
-            for text in found:
-                split = lower_words(text)
-                new = list({w for w in split if w not in number})
-                number.update(zip(new, np.searchsorted(known, _hashes(new)).tolist(), strict=True))
-                at = np.fromiter(map(number.__getitem__, split), np.int64, len(split))
-                n_tokens.append(len(split) + 1)
-                n_known.append(int((c[at] > 0).sum()) + (n_ends > 0))
-                base.append(float(log[at].sum()) + end - (len(split) + 1) * per_token)
+            every += found
+            raw = [t.encode() for t in found]
             part = np.zeros(len(found))
             for name, block in trie:
-                part += _trie(name, block, len(trie) == 1).score([t.encode() for t in found])
+                part += _trie(name, block, len(trie) == 1).score(raw)
             total.append(part)
+        words = _Words.of(every)
+        at = np.searchsorted(known, words.hashes)[words.place]
+        n_words = np.bincount(words.text, minlength=len(every))
+        n_known = np.bincount(words.text, c[at] > 0, len(every)).astype(np.int64) + (n_ends > 0)
+        base = np.bincount(words.text, log[at], len(every)) + end - (n_words + 1) * per_token
+        n_tokens = n_words + 1
         columns = [
             pa.array(ids, id_type),
             pa.array(marks, pa.bool_()),
