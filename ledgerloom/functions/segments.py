@@ -16,6 +16,7 @@ class Thresholds(NamedTuple):
     silver: int = 300
 
 
+# Segment labels as reports show them, short and with their limits.
 def segment_names(limits: Thresholds) -> tuple[str, str, str, str]:
     return ("VIP Platinum", "Gold Tier", "Silver Tier", "Bronze Member")
 

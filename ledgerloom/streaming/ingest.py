@@ -8,11 +8,27 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.operators.clean import quarantine, valid_rows
-from ledgerloom.schemas import RAW
+from ledgerloom.sources import files
+
+
+def _day(spark: SparkSession, path: str, as_of: dt.date | str | None) -> str:
+    """The day by which a batch is judged: as given, or as stored when it was first read."""
+    if as_of is not None:
+        return str(as_of)
+    try:
+        return spark.read.schema("day string").json(path).first()["day"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    today = spark.range(1).select(F.current_date().cast("string").alias("day"))
+    today.write.mode("overwrite").json(path)
+    return spark.read.schema("day string").json(path).first()["day"]
 
 
 def ingest(
@@ -27,18 +43,30 @@ def ingest(
     """Split the files that have arrived in ``source`` into valid and rejected rows.
 
     Each batch owns a directory that a replay overwrites, so rows are stored
-    exactly once. The query ends when all files present have been read.
+    exactly once. The query ends when all files present have been read. CSV columns are
+    found by name, as the batch reader does; a file whose header is another than that of
+    the files present at the start stops the query. A batch is judged as of one day,
+    today unless given, that stands with its files, so a replay judges by the same.
     """
-    reader = spark.readStream.schema(RAW[table]).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        schema = files.csv_schema(spark, source, table)
+    else:
+        schema = spark.read.format(fmt).load(source).schema
+    reader = spark.readStream.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("enforceSchema", False)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        for kind, rows in (
-            ("valid", valid_rows(batch, table, as_of)),
-            ("rejected", quarantine(batch, table, as_of)),
-        ):
-            rows.write.mode("overwrite").parquet(f"{target}/{kind}/{table}/batch_id={batch_id}")
+        day = _day(batch.sparkSession, f"{target}/as_of/{table}/batch_id={batch_id}", as_of)
+        rows = files.typed(batch, table).persist()  # both outputs from one reading
+        try:
+            for kind, part in (
+                ("valid", valid_rows(rows, table, day)),
+                ("rejected", quarantine(rows, table, day)),
+            ):
+                part.write.mode("overwrite").parquet(f"{target}/{kind}/{table}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
 
     return (
         reader.load(source)

@@ -24,7 +24,8 @@ def test_csv_is_read_with_the_declared_schema(spark, tmp_path):
         'C2,"",bob@example.com,2024-13-40,\n',
     )
     rows = files.read_table(spark, str(tmp_path), "customers").collect()
-    assert tuple(rows[0]) == ("C1", "Ann Lee", "ann@example.com", dt.date(2024, 2, 16), "India")
+    assert tuple(rows[0])[:5] == ("C1", "Ann Lee", "ann@example.com", dt.date(2024, 2, 16), "India")
+    assert (rows[0]["unread"], rows[1]["unread"]) == ({}, {"signup_date": "2024-13-40"})
     assert (rows[1]["name"], rows[1]["signup_date"], rows[1]["country"]) == (None, None, None)
 
 
@@ -37,8 +38,73 @@ def test_a_malformed_number_ends_in_quarantine(spark, tmp_path):
     )
     df = files.read_table(spark, str(tmp_path), "products")
     assert [row["price"] for row in cleaning.clean(df, "products").collect()] == [Decimal("34.89")]
-    rejected = {row["product_id"]: row["reasons"] for row in cleaning.quarantine(df, "products").collect()}
-    assert rejected == {"P2": ["stock_missing"], "P3": ["price_missing"]}
+    rejected = {
+        row["product_id"]: (row["reasons"], row["unread"])
+        for row in cleaning.quarantine(df, "products").collect()
+    }
+    assert rejected == {
+        "P2": (["stock_unreadable"], {"stock": "many"}),
+        "P3": (["price_unreadable"], {"price": "free"}),
+    }
+
+
+def test_no_amount_is_lost_or_changed(spark, tmp_path):
+    values = ["12345678901.00", "19.999", "abc", "", "2.0", "+7", "1.500", "9" * 17, "-3", " 4.25 "]
+    body = "".join(f"A{i},O1,PayPal,{v}\n" for i, v in enumerate(values))
+    _write(tmp_path, "payments.csv", "payment_id,order_id,payment_method,amount\n" + body)
+    df = files.read_table(spark, str(tmp_path), "payments")
+    clean = cleaning.clean(df, "payments")
+    assert "unread" not in clean.columns
+    amounts = {row["payment_id"]: row["amount"] for row in clean.collect()}
+    assert amounts == {
+        "A0": Decimal("12345678901.00"),
+        "A4": Decimal("2.00"),
+        "A5": Decimal("7.00"),
+        "A6": Decimal("1.50"),
+        "A9": Decimal("4.25"),
+    }
+    rejected = {
+        row["payment_id"]: (row["reasons"], row["unread"].get("amount"))
+        for row in cleaning.quarantine(df, "payments").collect()
+    }
+    assert rejected == {
+        "A1": (["amount_unreadable"], "19.999"),
+        "A2": (["amount_unreadable"], "abc"),
+        "A3": (["amount_missing"], None),
+        "A7": (["amount_unreadable"], "9" * 17),
+        "A8": (["amount_not_positive"], None),
+    }
+    lost = {(r["column_name"], r["value"]): r["rows"] for r in files.unread_values(df).collect()}
+    assert lost == {("amount", v): 1 for v in ("19.999", "abc", "9" * 17)}
+
+
+def test_whole_numbers_may_have_a_point(spark, tmp_path):
+    lines = [f"I{i},O1,P1,{q},5\n" for i, q in enumerate(["2.0", "3", "2.5", "99999999999"])]
+    _write(tmp_path, "order_items.csv", "order_item_id,order_id,product_id,quantity,price\n" + "".join(lines))
+    df = files.read_table(spark, str(tmp_path), "order_items")
+    assert [row["quantity"] for row in df.collect()] == [2, 3, None, None]
+    assert cleaning.quarantine(df, "order_items").count() == 2
+
+
+def test_other_types_in_parquet(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("A1", "O1", "PayPal", 19.99), ("A2", "O1", "PayPal", 19.999), ("A3", "O1", None, None)],
+        "payment_id string, order_id string, payment_method string, amount double",
+    )
+    df.write.parquet(f"{tmp_path}/payments.parquet")
+    rows = files.read_table(spark, str(tmp_path), "payments", "parquet").collect()
+    assert {r["payment_id"]: (r["amount"], r["unread"]) for r in rows} == {
+        "A1": (Decimal("19.99"), {}),
+        "A2": (None, {"amount": "19.999"}),
+        "A3": (None, {}),
+    }
+
+
+def test_declared_types_are_read_as_they_are(spark, tmp_path):
+    r.raw(spark, "payments", r.payment("A1")).write.parquet(f"{tmp_path}/payments.parquet")
+    df = files.read_table(spark, str(tmp_path), "payments", "parquet")
+    assert df.columns == ["payment_id", "order_id", "payment_method", "amount"]
+    assert files.unread_values(df).count() == 0
 
 
 def test_a_directory_of_files_is_one_table(spark, tmp_path):
@@ -56,7 +122,7 @@ def test_columns_are_found_by_name(spark, tmp_path):
         "amount,note,order_id,payment_id,payment_method\n1.5,late,O1,A1,PayPal\n",
     )
     df = files.read_table(spark, str(tmp_path), "payments")
-    assert tuple(df.first()) == ("A1", "O1", "PayPal", Decimal("1.50"))
+    assert tuple(df.first()) == ("A1", "O1", "PayPal", Decimal("1.50"), {})
 
 
 def test_a_missing_column_is_an_error(spark, tmp_path):
@@ -139,10 +205,11 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_no_local_folder_on_a_cluster():
-    cluster = SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default),
-        sparkContext=SimpleNamespace(master="yarn"),
-    )
-    with pytest.raises(RuntimeError):
-        shared_folder(cluster)
+def test_stored_results_go_to_a_folder_that_executors_share():
+    def session(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+
+    warehouse = {"spark.sql.warehouse.dir": "s3a://shop/warehouse"}
+    assert shared_folder(session(**warehouse)) == "s3a://shop/warehouse/_scratch"
+    named = {"spark.checkpoint.dir": "hdfs:///scratch/"}
+    assert shared_folder(session(**warehouse, **named)) == "hdfs:///scratch"

@@ -1,3 +1,7 @@
+from decimal import Decimal
+
+import pytest
+
 from ledgerloom.operators.clean import quarantine, valid_rows
 from ledgerloom.streaming.ingest import ingest
 from tests import rows as r
@@ -17,7 +21,7 @@ def test_batches_equal_the_batch_job(spark, tmp_path):
     everything = r.raw(spark, "orders", *first, *later)
 
     def stored(kind):
-        return spark.read.parquet(f"{target}/{kind}/orders").drop("batch_id")
+        return spark.read.parquet(f"{target}/{kind}/orders").drop("batch_id", "unread")
 
     for kind, expected in (
         ("valid", valid_rows(everything, "orders", "2025-06-01")),
@@ -35,3 +39,35 @@ def test_a_replayed_batch_is_stored_once(spark, tmp_path):
         query.awaitTermination(120)
     assert spark.read.parquet(f"{target}/valid/orders").count() == 1
     assert spark.read.parquet(f"{target}/rejected/orders").count() == 1
+
+
+def _payments(folder, name, header, row):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(f"{header}\n{row}\n", encoding="utf-8")
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    _payments(tmp_path / "in", "a.csv", "amount,payment_id,order_id,payment_method", "5.00,A1,O1,PayPal")
+    where = [str(tmp_path / name) for name in ("in", "out", "state")]
+    ingest(spark, "payments", *where).awaitTermination(120)
+    (row,) = spark.read.parquet(f"{where[1]}/valid/payments").collect()
+    assert (row["payment_id"], row["amount"]) == ("A1", Decimal("5.00"))
+    assert spark.read.parquet(f"{where[1]}/rejected/payments").count() == 0
+
+
+def test_another_header_is_refused(spark, tmp_path):
+    _payments(tmp_path / "in", "a.csv", "payment_id,order_id,payment_method,amount", "A1,O1,PayPal,5.00")
+    _payments(tmp_path / "in", "b.csv", "amount,payment_id,order_id,payment_method", "5.00,A2,O1,PayPal")
+    where = [str(tmp_path / name) for name in ("in", "out", "state")]
+    with pytest.raises(Exception, match="header"):
+        ingest(spark, "payments", *where).awaitTermination(120)
+
+
+def test_a_replay_judges_by_the_same_day(spark, tmp_path):
+    _payments(tmp_path / "in", "a.csv", "payment_id,order_id,payment_method,amount", "A1,O1,PayPal,5.00")
+    where = [str(tmp_path / name) for name in ("in", "out")]
+    ingest(spark, "payments", *where, str(tmp_path / "s1")).awaitTermination(120)
+    days = f"{where[1]}/as_of/payments/batch_id=0"
+    spark.createDataFrame([("2020-02-02",)], "day string").write.mode("overwrite").json(days)
+    ingest(spark, "payments", *where, str(tmp_path / "s2")).awaitTermination(120)
+    assert spark.read.json(days).first()["day"] == "2020-02-02"
