@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import materialize
-
 # Buckets per power of two. 64 powers of two bound the number of buckets at
 # 131,072 (both signs), whatever the data.
 STEPS_LOG2 = 10
@@ -35,9 +33,9 @@ def with_rank(df: DataFrame, value: Column, name: str = "rank") -> DataFrame:
     bucket. Both are counted on distinct values, so a value shared by many rows
     costs one row, and a bucket holds no more distinct values than its width.
     The only window without partitions runs over the bucket counts. NULL ranks
-    last.
+    last. The plan reads ``df`` twice; where that is dear, store it first.
     """
-    rows = materialize(df.withColumn("_value", value), "ranked")
+    rows = df.withColumn("_value", value)
     per_value = rows.groupBy("_value").agg(F.count(F.lit(1)).alias("ties"))
     bucketed = per_value.withColumn(
         "bucket", F.coalesce(magnitude_bucket(F.col("_value")), F.lit(-(1 << 62)))

@@ -17,7 +17,8 @@ from ledgerloom.schemas import TABLES
 
 
 class Catalog:
-    """Plans over raw tables as of a day; nothing runs until a result is used."""
+    """Plans over raw tables as of a day; nothing runs until a result is used, but for the search
+    for hot keys in inputs of 1 GiB or more (``operators.skew``)."""
 
     def __init__(
         self,

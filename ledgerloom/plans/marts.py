@@ -70,12 +70,15 @@ def known_customers_value(lifetime_value: DataFrame, customers: DataFrame) -> Da
     )
 
 
+def ranked_customers(value: DataFrame) -> DataFrame:
+    """Customers with the rank of their spend; ``value`` is read twice."""
+    ranked = with_rank(value, cents(F.col("total_spent")))
+    return ranked.select("rank", *[c for c in ranked.columns if c != "rank"])
+
+
 def top_customers(lifetime_value: DataFrame, customers: DataFrame) -> DataFrame:
     """Every known customer with the rank of their spend."""
-    ranked = with_rank(
-        known_customers_value(lifetime_value, customers), cents(F.col("total_spent"))
-    )
-    return ranked.select("rank", *[c for c in ranked.columns if c != "rank"])
+    return ranked_customers(known_customers_value(lifetime_value, customers))
 
 
 def clv_leaderboard(lifetime_value: DataFrame, customers: DataFrame, size: int = 15) -> DataFrame:

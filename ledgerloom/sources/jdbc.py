@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,8 +16,17 @@ def read_table(
     lower: str | int | None = None,
     upper: str | int | None = None,
     partitions: int = 1,
+    predicates: Sequence[str] = (),
 ) -> DataFrame:
-    """A table or ``(query) AS alias``; parallel when a range column is given."""
+    """A table or ``(query) AS alias``.
+
+    It is read in parallel when a range column is given, or by one task for each of
+    ``predicates``, conditions that split the rows; ``hash_predicates`` makes some for text keys.
+    """
+    if predicates:
+        return spark.read.jdbc(
+            url, table, predicates=list(predicates), properties={"fetchsize": "10000", **properties}
+        )
     options = {"url": url, "dbtable": table, "fetchsize": "10000", **properties}
     if partition_column:
         options.update(
@@ -29,6 +38,15 @@ def read_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def hash_predicates(expression: str, partitions: int) -> list[str]:
+    """Conditions for ``partitions`` parts by a whole-number SQL expression of the database.
+
+    For a text key of PostgreSQL that is ``hashtext(key)``. NULL goes with the first part.
+    """
+    parts = [f"mod(mod({expression}, {partitions}) + {partitions}, {partitions}) = {k}" for k in range(partitions)]
+    return [f"{parts[0]} OR ({expression}) IS NULL", *parts[1:]]
+
+
 def write_table(
     df: DataFrame,
     url: str,

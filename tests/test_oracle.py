@@ -9,6 +9,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from ledgerloom.plans import reads
+from ledgerloom.plans.catalog import Catalog
+from ledgerloom.sources import star_schema
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -30,10 +33,10 @@ def _sorted_rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(entry_point.PLANS) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", entry_point.queries())
+@pytest.mark.parametrize("name", entry_point.PLANS)
 def test_query_equals_sql(spark, database, name):
     df = entry_point.queries()[name](spark, FOLDER)
     result = database.execute(entry_point.oracle_sql()[name])
@@ -45,5 +48,37 @@ def test_query_equals_sql(spark, database, name):
     assert all(isinstance(value, plain) for row in rows for value in row)
 
 
+@pytest.mark.parametrize("name", reads.ORDER)
+def test_readers_see_rows_in_order(spark, name):
+    rows = entry_point.queries()[name](spark, FOLDER).collect()
+    assert len(rows) > 1
+
+    def key(row):
+        out = []
+        for c in reads.ORDER[name]:
+            value = row[c.lstrip("-")]
+            falling = c[0] == "-"
+            if isinstance(value, str):
+                value = tuple(-ord(x) for x in value) if falling else value
+            out.append(-value if falling and not isinstance(value, tuple) else value)
+        return out
+
+    assert rows == sorted(rows, key=key)
+
+
+def test_building_plans_starts_no_job(spark):
+    spark.sparkContext.setJobGroup("building", "no job expected")
+    try:
+        raw = {t: df for t, df in star_schema.RetailTables(spark, FOLDER).items()}
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+        catalog = Catalog(spark, raw, star_schema.AS_OF, entry_point.LIMITS)
+        for plan in entry_point.PLANS.values():
+            plan(catalog)
+        after = len(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert after == before
+
+
 def test_entry_returns_rows(spark):
     assert entry_point.entry(spark).limit(1).count() == 1
