@@ -149,48 +149,50 @@ REFERENCES = {
 }
 
 
-def _orphans_of(
-    cleaned: Mapping[str, DataFrame], parent: str, children: tuple[tuple[str, str], ...]
-) -> DataFrame:
-    """Orphans among all references to one parent.
+def orphan_keys(cleaned: Mapping[str, DataFrame]) -> DataFrame:
+    """Clean rows, and distinct keys, that refer to no clean row of the parent table.
 
-    Parent and children are stacked and counted per key, which needs one
-    shuffle of partial counts and no join; a hot key is one row per task.
+    A NULL reference is an orphan too. Every table is read once: a row gives its own key
+    and those it refers to. They are counted per parent and key, which needs one shuffle of
+    partial counts and no join; a hot key is one row per task.
     """
-    names = [f"rows_{i}" for i in range(len(children))]
-
-    def keys(table: str, column: str, mark: str) -> DataFrame:
-        marks = [F.lit(int(n == mark)).cast("bigint").alias(n) for n in ["known", *names]]
-        return cleaned[table].select(F.col(column).alias("key"), *marks)
-
-    stacked = reduce(
-        DataFrame.unionByName,
-        [keys(t, c, n) for (t, c), n in zip(children, names)],
-        keys(parent, PRIMARY_KEY[parent], "known"),
+    width = max(map(len, REFERENCES.values()))
+    names = [f"rows_{i}" for i in range(width)]
+
+    def mark(parent: str, key: Column, place: str) -> Column:
+        marks = [F.lit(int(n == place)).cast("bigint").alias(n) for n in ("known", *names)]
+        return F.struct(F.lit(parent).alias("parent"), key.cast("string").alias("key"), *marks)
+
+    given: dict[str, list[Column]] = {}
+    for parent, children in REFERENCES.items():
+        given.setdefault(parent, []).append(mark(parent, F.col(PRIMARY_KEY[parent]), "known"))
+        for i, (table, column) in enumerate(children):
+            given.setdefault(table, []).append(mark(parent, F.col(column), names[i]))
+    # a row without counts for each parent, so that all are reported even without any rows
+    spark = next(iter(cleaned.values())).sparkSession
+    none = F.lit(None).cast("string")
+    parts = [spark.range(1).select(F.inline(F.array(*[mark(p, none, "") for p in REFERENCES])))]
+    parts += [cleaned[table].select(F.inline(F.array(*marks))) for table, marks in given.items()]
+    per_key = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("parent", "key")
+        .agg(*[F.sum(n).alias(n) for n in ("known", *names)])
     )
-    per_key = stacked.groupBy("key").agg(*[F.sum(n).alias(n) for n in ["known", *names]])
-    unknown = per_key.where(F.col("known") == 0)
-    totals = unknown.agg(
-        *[F.count_if(F.col(n) > 0).alias(f"{n}_keys") for n in names],
-        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
+    lost = [F.when(F.col("known") == 0, F.col(n)) for n in names]
+    totals = per_key.groupBy("parent").agg(
+        *[F.count_if(c > 0).alias(f"{n}_keys") for c, n in zip(lost, names, strict=True)],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in zip(lost, names, strict=True)],
     )
-    entries = [
+    reported = [
         F.struct(
             F.lit(table).alias("child_table"),
             F.lit(column).alias("child_column"),
             F.lit(parent).alias("parent_table"),
-            F.col(f"{n}_keys").alias("orphan_keys"),
-            F.col(n).alias("orphan_rows"),
+            F.col(f"{names[i]}_keys").alias("orphan_keys"),
+            F.col(names[i]).alias("orphan_rows"),
         )
-        for (table, column), n in zip(children, names)
+        for parent, children in REFERENCES.items()
+        for i, (table, column) in enumerate(children)
     ]
-    return totals.select(F.inline(F.array(*entries)))
-
-
-def orphan_keys(cleaned: Mapping[str, DataFrame]) -> DataFrame:
-    """Clean rows, and distinct keys, that refer to no clean row of the parent table.
-
-    A NULL reference is an orphan too.
-    """
-    parts = [_orphans_of(cleaned, parent, children) for parent, children in REFERENCES.items()]
-    return reduce(DataFrame.unionByName, parts)
+    every = totals.select("parent", F.inline(F.array(*reported)))
+    return every.where("parent = parent_table").drop("parent")

@@ -54,6 +54,13 @@ def test_metrics_scan_each_table_once(raw, table):
     assert _plan(quality.table_metrics(raw[table], table)).count("FileScan") == 1
 
 
+def test_orphans_read_each_table_once(catalog):
+    plan = _plan(quality.orphan_keys({t: catalog.clean(t) for t in TABLES}))
+    assert plan.count("FileScan") == 5
+    # one for the references, one for the three parents, one for unique customers
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
 def test_filters_and_columns_reach_the_scan(spark, catalog):
     spark.conf.set("spark.sql.maxMetadataStringLength", 2_000)
     plan = _plan(catalog.clean("payments").select("order_id", "amount"))
