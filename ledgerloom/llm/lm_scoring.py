@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm import ppm
 from ledgerloom.llm.common import ship, slices, texts
+from ledgerloom.llm.parts import listed
 from ledgerloom.session import materialize
 
 ORDER = 4
@@ -210,7 +211,7 @@ class _Words:
         parts = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(found, pa.string())))
         numbered = parts.flatten().dictionary_encode()
         place = numbered.indices.to_numpy()
-        words = numbered.dictionary.cast(pa.binary()).to_pylist()
+        words = listed(numbered.dictionary.cast(pa.binary()))
         text = np.repeat(np.arange(len(found)), np.diff(parts.offsets.to_numpy()))
         if b"" in words:  # before white space at a start, after it at an end
             full = place != words.index(b"")

@@ -9,14 +9,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED = 800_000  # parts whose ids a Python worker keeps
+CACHED = 500_000  # parts whose ids a Python worker keeps
 
 #: learns new parts: gives those that got ids, their ids in one array, how many each has, marks (bits)
 Learn = Callable[[list[str]], tuple[list[str], np.ndarray, np.ndarray, np.ndarray]]
 
 
 class Known:
-    """Numbers, ids and marks of parts; all forgotten when there are more than ``limit``."""
+    """Numbers, ids and marks of parts; when there are more than ``limit``, most are forgotten."""
 
     def __init__(self, learn: Learn, limit: int = CACHED):
         self._learn, self._limit = learn, limit
@@ -29,17 +29,38 @@ class Known:
 
     def numbers(self, different: list[str]) -> np.ndarray:
         """Of each of ``different`` parts its number, -1 where it can have none."""
-        if len(self._number) + len(different) > self._limit:
-            self._forget()
-        new = [p for p in different if p not in self._number]
-        if new:
+        found = list(map(self._number.get, different))
+        at = [k for k, n in enumerate(found) if n is None]
+        if at and len(self._number) + len(at) > self._limit:
+            # what is known and met again is worth keeping
+            self._keep([(p, n) for p, n in zip(different, found, strict=True) if n is not None])
+            found = list(map(self._number.get, different))
+        if at:
+            new = [different[k] for k in at]
             named, ids, size, marks = self._learn(new)
             first = len(self.size)
             self._number.update(zip(named, range(first, first + len(named)), strict=True))
-            self.ids = np.concatenate([self.ids, ids]).astype(np.uint32)
-            self.size = np.concatenate([self.size, size]).astype(np.int64)
-            self.marks = np.concatenate([self.marks, marks]).astype(np.uint8)
-        return np.fromiter(map(self._number.get, different, repeat(-1)), np.int64, len(different))
+            self.ids = np.concatenate([self.ids, ids]).astype(np.uint32, copy=False)
+            self.size = np.concatenate([self.size, size]).astype(np.int64, copy=False)
+            self.marks = np.concatenate([self.marks, marks]).astype(np.uint8, copy=False)
+            for k, n in zip(at, map(self._number.get, new, repeat(-1)), strict=True):
+                found[k] = n
+        return np.fromiter(found, np.int64, len(different))
+
+    def _keep(self, kept: list[tuple[str, int]]) -> None:
+        """Forget all parts but some."""
+        old = np.array([n for _, n in kept], np.int64)
+        ids, size, marks = self.ids, self.size, self.marks
+        self._forget()
+        if kept:
+            self._number = {p: k for k, (p, _) in enumerate(kept)}
+            self.size, self.marks = size[old], marks[old]
+            self.ids, _ = gather(ids, size, old, np.array([len(old)]))
+
+
+def listed(strings: pa.Array) -> list:
+    """Strings (none NULL) as a list, without a scalar for each."""
+    return strings.to_numpy(zero_copy_only=False).tolist()
 
 
 def split(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
@@ -50,7 +71,7 @@ def split(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
     parts = pc.split_pattern(texts, " ")
     begins = parts.offsets.to_numpy().astype(np.int64)
     numbered = parts.flatten().dictionary_encode()
-    return numbered.indices.to_numpy(), numbered.dictionary.to_pylist(), begins[:-1] - begins[0]
+    return numbered.indices.to_numpy(), listed(numbered.dictionary), begins[:-1] - begins[0]
 
 
 def gather(
@@ -78,3 +99,27 @@ def unlined(stream: np.ndarray, line: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids without those of line feeds, and how many stand before each of them."""
     ends = np.flatnonzero(stream == line)
     return stream[stream != line], np.diff(ends, prepend=-1) - 1
+
+
+def cut(texts: pa.Array, marks: bytes = b" \n") -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Texts (none NULL) cut before every byte of ``marks``, which begins the next part.
+
+    Gives the same as ``split``; an empty text is one empty part.
+    """
+    texts = texts.cast(pa.string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    low, high = int(offsets[0]), int(offsets[-1])
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[low:high] if data else np.empty(0, np.uint8)
+    found = np.zeros(len(raw), bool)
+    for m in marks:
+        found |= raw == m
+    starts = offsets[:-1].astype(np.int64) - low
+    found[starts[starts < len(raw)]] = False  # a text begins there anyway
+    inner = np.flatnonzero(found)
+    begins = np.searchsorted(inner, starts) + np.arange(len(starts))
+    at = np.insert(inner, np.searchsorted(inner, starts), starts)
+    ends = np.append(at, len(raw)).astype(np.int32) + np.int32(low)
+    flat = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends.tobytes()), data or pa.py_buffer(b""))
+    numbered = flat.dictionary_encode()
+    return numbered.indices.to_numpy(), listed(numbered.dictionary), begins
