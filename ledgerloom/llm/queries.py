@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import (
     compression_classifier,
     decontaminate,
+    filter_audit,
+    importance_resampling,
     jaccard_join,
     lm_scoring,
     pii,
@@ -18,6 +20,7 @@ from ledgerloom.llm import (
     sentencepiece_backend,
     spans,
     token_files,
+    topk_search,
     url_filters,
     url_list,
 )
@@ -126,6 +129,21 @@ def op10_compression_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance_resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return drawn.drop("n_words")
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -139,7 +157,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_jaccard_join,
         op9_sentencepiece,
         op10_compression_classifier,
+        op11_importance_resampling,
+        op12_topk_search,
+        op13_filter_audit,
     )
 }
 
-ORACLES: dict[str, str] = {"op2_url_filters": url_list.oracle()}
+ORACLES: dict[str, str] = {
+    "op2_url_filters": url_list.oracle(),
+    "op11_importance_resampling": importance_resampling.oracle(),
+    "op12_topk_search": topk_search.oracle(),
+    "op13_filter_audit": filter_audit.oracle(),
+}

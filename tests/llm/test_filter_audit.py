@@ -1,0 +1,95 @@
+"""The audit against a plain walk through all orders, document by document."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+from itertools import permutations
+
+from ledgerloom.llm import filter_audit
+from tests.llm.helpers import ODD, PROSE
+
+LABELS = "doc_id long, quality int, toxic int, text string, n int"
+DOCS = "doc_id long, text string, lang string, mask string, id string, good string"
+
+
+def failed(text, repeated):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return {
+        "A": len(words) < 200,
+        "B": 100 * len(set(words)) < 50 * len(words),
+        "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+        "D": re.search("[#$%&*|]", text) is not None,
+        "E": repeated,
+    }
+
+
+def plain(rows, labels):
+    """Rows (doc_id, text, lang): counts by part, order and step."""
+    good = {i for i, quality, _ in labels if quality == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    rows = [(i, t or "", lang or "") for i, t, lang in rows]
+    out = Counter()
+    parts = {lang for _, _, lang in rows}
+    for i, text, part in rows:
+        fails = failed(text, i is not None and any(x is not None and x < i and t == text for x, t, _ in rows))
+        for order in map("".join, permutations("ABCDE")):
+            gone = False
+            for step, f in enumerate(order, 1):
+                key = (part, order, step)
+                lost = fails[f] and not gone
+                out[(*key, "kept")] += not gone and not fails[f]
+                out[(*key, "removed")] += lost
+                out[(*key, "redundant")] += fails[f] and gone
+                out[(*key, "unique_fails")] += fails[f] and sum(fails.values()) == 1
+                out[(*key, "good_lost")] += lost and i in good
+                out[(*key, "toxic_lost")] += lost and i in toxic
+                out[(part, f, "shapley")] += lost
+                gone = gone or fails[f]
+    return {
+        (p, o, s): tuple(out[(p, o, s, c)] for c in filter_audit.COUNTS) + (out[(p, o[s - 1], "shapley")],)
+        for p in parts
+        for o in map("".join, permutations("ABCDE"))
+        for s in range(1, 6)
+    }
+
+
+def audited(spark, rows, labels):
+    docs = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], DOCS).repartition(3)
+    marks = spark.createDataFrame([(*x, "x", 1) for x in labels], LABELS)
+    found = filter_audit.audit(docs, marks).collect()
+    return found, {
+        (r["part"], r["filter_order"], r["step"]): tuple(r[c] for c in (*filter_audit.COUNTS, "shapley"))
+        for r in found
+    }
+
+
+def test_every_order_of_random_documents(spark):
+    rng = random.Random(3)
+    long = " ".join(f"word{k}" for k in range(220))
+    texts = [long, long + " #", long.upper(), PROSE, PROSE + "|", "same " * 300, f"{long} other", ""]
+    rows = [(k % 50, rng.choice(texts), rng.choice(["en", "de", None])) for k in range(70)]
+    labels = [(k, rng.choice([0, 1, None]), rng.choice([0, 1])) for k in range(0, 60, 2)]
+    found, got = audited(spark, rows, labels)
+    assert got == plain(rows, labels) and len(found) == len(got)
+
+
+def test_odd_rows(spark):
+    rows = [(i, t, lang) for (i, t), lang in zip(ODD, [None, "", "en"] * 5, strict=False)]
+    labels = [(None, 1, 1), (4, 1, 0), (4, 0, 1), (1, None, None)]
+    _, got = audited(spark, rows, labels)
+    assert got == plain(rows, labels)
+
+
+def test_a_text_and_an_id_that_many_rows_share(spark):
+    rows = [(k, PROSE, "en") for k in range(300)] + [(7, "x", "en")] * 300 + [(None, PROSE, "en")] * 5
+    found, got = audited(spark, rows, [(7, 1, 1)])
+    assert got == plain(rows, [(7, 1, 1)])
+    at = got[("en", "EABCD", 1)]
+    assert at[1] == 299 + 0  # all copies but the first; rows without an id stay
+
+
+def test_no_documents_and_no_labels(spark):
+    assert audited(spark, [], [])[0] == []
+    assert audited(spark, [(1, "a", "en")], [])[1] == plain([(1, "a", "en")], [])

@@ -1,0 +1,102 @@
+"""Searches against all pairs, with pivots, rings, rounds and tiles made small."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import topk_search as ts
+
+SCHEMA = "vec_id long, embedding array<float>, id string, score string, vec string"
+
+
+def plain(rows, k=20, every=20, scale=64):
+    fine = {
+        (i, tuple(math.floor(scale * x) for x in np.array(v, np.float32).astype(float).tolist()))
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    }
+    out = []
+    for i, q in fine:
+        if i % every == 0:
+            found = [(-sum(a * b for a, b in zip(q, c, strict=False)), j) for j, c in fine if j != i]
+            most = 2**63 - 1
+            found = sorted((-min(max(-s, -most), most), j) for s, j in found)
+            out += [(i, r, j, -s) for r, (s, j) in enumerate(found[:k], 1)]
+    return sorted(out)
+
+
+def searched(spark, rows, **how):
+    df = spark.createDataFrame([(i, v, "x", "y", "z") for i, v in rows], SCHEMA).repartition(3)
+    return sorted(map(tuple, ts.search(df, F.col("vec_id") % 20 == 0, **how).collect()))
+
+
+@pytest.fixture
+def small(monkeypatch):
+    for name, value in {"PER_PIVOT": 16, "FIRST": 20, "GROWTH": 3, "BLOCK": 7, "GROUP": 5, "PIVOTS": 6}.items():
+        monkeypatch.setattr(ts, name, value)
+
+
+def vectors(rng, n, size, clusters, spread=0.05):
+    centres = [[rng.gauss(0, 1) for _ in range(size)] for _ in range(clusters)]
+    return [(k, [x + rng.gauss(0, spread) for x in rng.choice(centres)]) for k in range(n)]
+
+
+def test_clusters(spark, small):
+    rows = vectors(random.Random(1), 400, 6, 9)
+    assert searched(spark, rows) == plain(rows)
+
+
+def test_bounds_leave_out_what_is_far(spark, small, monkeypatch):
+    """In clustered data most pairs of a query and a ring are left out, and the result is whole."""
+    rows = vectors(random.Random(2), 600, 4, 12, 0.01)
+    stored = {}
+    store = ts.materialize
+
+    def kept(df, label):
+        return stored.setdefault(label, []).append(store(df, label)) or stored[label][-1]
+
+    monkeypatch.setattr(ts, "materialize", kept)
+    assert searched(spark, rows, k=5) == plain(rows, k=5)
+    rings = stored["block"][0].select("pivot", "ring").distinct().count()
+    needed = sum(df.agg(F.sum(F.octet_length("nth") / 4)).first()[0] or 0 for df in stored["needs"])
+    assert rings > 6 and needed < 0.5 * rings * 30
+
+
+def test_ties_copies_and_repeated_rows(spark, small):
+    rng = random.Random(3)
+    same = [0.5, -0.25, 1.0]
+    rows = [(k, same if k % 3 else [rng.choice([0.0, 0.5, 1.0]) for _ in range(3)]) for k in range(300)]
+    rows += rows[:30] + [(20, [1.0, 1.0, 1.0])]
+    assert searched(spark, rows) == plain(rows)
+
+
+def test_rows_that_take_no_part_and_lengths(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [nan, 1.0]), (4, [inf, 1.0]), (None, [1.0, 1.0])]
+    rows += [(20, []), (5, [0.1]), (6, [0.1, 0.2, -0.3]), (40, [-1.0, 0.5, 2.0]), (60, None), (80, [nan])]
+    assert searched(spark, rows) == plain(rows)
+
+
+def test_few_rows_and_none(spark):
+    assert searched(spark, [(0, [1.0])]) == []
+    assert searched(spark, [(0, [1.0]), (1, [2.0])]) == [(0, 1, 1, 64 * 128)]
+    assert searched(spark, []) == []
+    assert searched(spark, [(1, [1.0]), (2, [1.0])]) == []
+
+
+@pytest.mark.parametrize("size", [1e3, 1e6, 1e12, 1e30])
+def test_large_numbers_are_exact(spark, size):
+    rng = random.Random(4)
+    rows = [(k, [rng.uniform(-size, size) for _ in range(5)]) for k in range(60)]
+    assert searched(spark, rows) == plain(rows)
+
+
+def test_packed_vectors_come_back():
+    rows = [np.array(v, float) for v in ([], [1, -127], [128], [-40000, 3], [2.0**40], [-128, 5])]
+    back = ts.unpack([ts.pack(v) for v in rows], 3)
+    assert [list(r) for r in back] == [list(np.pad(v, (0, 3 - len(v)))) for v in rows]
