@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.rules import UNIQUE_METRIC, rules_for
@@ -15,74 +15,61 @@ from ledgerloom.schemas import PRIMARY_KEY, TABLES
 TOTAL = "total_records"
 
 
-def _as_rows(totals: DataFrame, table: str, metrics: list[str]) -> DataFrame:
-    """One row of totals as (table, metric, value) rows with their report position."""
-    first = TABLES.index(table) * 100
+def _names(table: str) -> list[str]:
+    """The metrics of a table in report order."""
+    unique = [UNIQUE_METRIC[table]] if table in UNIQUE_METRIC else []
+    return [TOTAL, *[rule.metric for rule in rules_for(table)], *unique]
+
+
+def table_metrics(
+    df: DataFrame, table: str, as_of: dt.date | str | None = None
+) -> DataFrame:
+    """All metrics of one raw table from a single pass over it, with their report positions.
+
+    With a uniqueness check the counts are taken per key first and then summed,
+    so the duplicate count shares the scan of the others.
+    """
+    counts = [
+        F.count(F.lit(1)).alias(TOTAL),
+        *[F.count_if(rule.violated).alias(rule.metric) for rule in rules_for(table, as_of)],
+    ]
+    names = _names(table)
+    if table in UNIQUE_METRIC:
+        per_key = df.groupBy(PRIMARY_KEY[table]).agg(*counts)
+        summed = [F.sum(name).alias(name) for name in names[:-1]]
+        totals = per_key.agg(*summed, F.count_if(F.col(TOTAL) > 1).alias(names[-1]))
+    else:
+        totals = df.agg(*counts)
     entries = [
         F.struct(
-            F.lit(first + i).alias("position"),
+            F.lit(_position(table, i)).alias("position"),
             F.lit(table).alias("table"),
             F.lit(m).alias("metric"),
             F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias("value"),
         )
-        for i, m in enumerate(metrics)
+        for i, m in enumerate(names)
     ]
     return totals.select(F.inline(F.array(*entries)))
 
 
-def _totals(df: DataFrame, table: str, counts: list[Column]) -> DataFrame:
-    """One row: the given counts and, where the key must be unique, the repeated keys.
-
-    With a uniqueness check the counts are taken per key first and then summed,
-    so the duplicate count shares the scan of the others.
-    """
-    if table not in UNIQUE_METRIC:
-        return df.agg(*counts)
-    per_key = df.groupBy(PRIMARY_KEY[table]).agg(*counts)
-    names = [name for name in per_key.columns if name != PRIMARY_KEY[table]]
-    return per_key.agg(
-        *[F.sum(name).alias(name) for name in names],
-        F.count_if(F.col(TOTAL) > 1).alias(UNIQUE_METRIC[table]),
-    )
-
+def _position(table: str, nth: int) -> int:
+    return TABLES.index(table) * 100 + nth
 
-def table_metrics(
-    df: DataFrame,
-    table: str,
-    as_of: dt.date | str | None = None,
-    rejected: DataFrame | None = None,
-) -> DataFrame:
-    """All metrics of one raw table from a single pass over it.
 
-    ``rejected`` may name the table's stored quarantine. Whatever a rule counts
-    it also rejects, so the rules are then counted on those few rows and the raw
-    table only gives its number of rows and its keys.
-    """
-    rules = rules_for(table, as_of)
-    total = F.count(F.lit(1)).alias(TOTAL)
-    hits = [F.count_if(rule.violated).alias(rule.metric) for rule in rules]
-    names = [TOTAL] + [rule.metric for rule in rules]
-    names += [UNIQUE_METRIC[table]] if table in UNIQUE_METRIC else []
-    if rejected is None:
-        return _as_rows(_totals(df, table, [total, *hits]), table, names)
-    both = _totals(df, table, [total]).unionByName(rejected.agg(*hits), allowMissingColumns=True)
-    return _as_rows(both.agg(*[F.sum(name).alias(name) for name in names]), table, names)
-
-
-def report(
-    raw: Mapping[str, DataFrame],
-    as_of: dt.date | str | None = None,
-    rejected: Mapping[str, DataFrame] | None = None,
-) -> DataFrame:
-    """Metrics of all tables with the position of each row in the report."""
-    stored = rejected or {}
-    parts = [table_metrics(raw[table], table, as_of, stored.get(table)) for table in TABLES]
-    return reduce(DataFrame.unionByName, parts)
+def report(spark: SparkSession, counts: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """The metrics of a run, as counted while its raw tables were stored, in report order."""
+    rows = [
+        (_position(table, i), table, metric, counts[table][metric])
+        for table in TABLES
+        for i, metric in enumerate(_names(table))
+    ]
+    return spark.createDataFrame(rows, "position int, table string, metric string, value bigint")
 
 
 def dq_metrics(raw: Mapping[str, DataFrame], as_of: dt.date | str | None = None) -> DataFrame:
     """The quality report: table, metric, value."""
-    return report(raw, as_of).drop("position")
+    parts = [table_metrics(raw[table], table, as_of) for table in TABLES]
+    return reduce(DataFrame.unionByName, parts).drop("position")
 
 
 def dq_score(metrics: DataFrame) -> DataFrame:

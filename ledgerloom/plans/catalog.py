@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
-from functools import cached_property, reduce
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +13,10 @@ from ledgerloom.functions.segments import Thresholds
 from ledgerloom.operators import clean as cleaning
 from ledgerloom.operators import quality
 from ledgerloom.plans import dashboard, marts, runs
-from ledgerloom.schemas import TABLES
 
 
 class Catalog:
-    """Plans over raw tables as of a day; nothing runs until a result is used, but for the search
-    for hot keys in inputs of 1 GiB or more (``operators.skew``)."""
+    """Plans over raw tables as of a day; nothing runs until a result is used."""
 
     def __init__(
         self,
@@ -32,8 +30,14 @@ class Catalog:
         self.as_of = as_of
         self.limits = limits
 
-    def clean(self, table: str) -> DataFrame:
-        return cleaning.clean(self.raw[table], table, self.as_of)
+    def clean(self, table: str, *columns: str) -> DataFrame:
+        """A clean table, or only some of its columns, which shuffles less (``clean.clean``)."""
+        return cleaning.clean(self.raw[table], table, self.as_of, columns)
+
+    @property
+    def profiles(self) -> DataFrame:
+        """What the marts show of a customer."""
+        return self.clean("customers", "customer_id", "name", "country")
 
     def quarantine(self, table: str) -> DataFrame:
         """Rejected rows with their reasons as one text."""
@@ -50,10 +54,10 @@ class Catalog:
 
     @cached_property
     def customers_value(self) -> DataFrame:
-        return marts.known_customers_value(self.lifetime_value, self.clean("customers"))
+        return marts.known_customers_value(self.lifetime_value, self.profiles)
 
     def top_customers(self) -> DataFrame:
-        return marts.top_customers(self.lifetime_value, self.clean("customers"))
+        return marts.top_customers(self.lifetime_value, self.profiles)
 
     @cached_property
     def monthly_revenue(self) -> DataFrame:
@@ -71,19 +75,3 @@ class Catalog:
 
     def run_record(self, run_id: str, run_time: str) -> DataFrame:
         return runs.run_record(self.metrics, run_id, run_time)
-
-    def run_history(self, days: list[str]) -> DataFrame:
-        """One run record per day, each judging the raw tables as of that day."""
-        daily = [
-            Catalog(self.spark, self.raw, day).run_record(day, f"{day} 06:00:00") for day in days
-        ]
-        return reduce(DataFrame.unionByName, daily)
-
-    def row_count_audit(self, run_history: DataFrame) -> DataFrame:
-        """Row counts of the tables a run loads; ranking adds no rows, so it is left out."""
-        tables = {f"raw_clean.{t}": self.clean(t) for t in TABLES}
-        tables["analytics.top_customers"] = self.customers_value
-        tables["analytics.monthly_revenue"] = self.monthly_revenue
-        tables["analytics.product_performance"] = self.product_performance
-        tables["analytics.pipeline_runs"] = run_history
-        return dashboard.row_counts(tables)

@@ -1,8 +1,8 @@
 """Analytical tables on the clean tables.
 
-The order key is the only one that both facts share, so every mart first sums
-the many side to one row per order and meets the other side through
-``join_on_unique``; duplicated orders then multiply sums, never row pairs.
+The order key is the only one that both facts share, so every mart first sums one side to
+one row per key (``joins.per_key``); repeated orders then multiply sums, never row pairs,
+and what the other side has of a key, however much, can be joined by several tasks.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import average_cents, cents, money
 from ledgerloom.functions.text import month_of
+from ledgerloom.operators.joins import per_key
 from ledgerloom.operators.ranking import with_rank
-from ledgerloom.operators.skew import join_on_unique
 
 CANCELLED = "Cancelled"
 
@@ -30,24 +30,28 @@ def order_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def _revenue_by(orders: DataFrame, payments: DataFrame, group: str) -> DataFrame:
-    """Paid cents, payments and distinct orders per value of one order column."""
-    paid = payments.groupBy("order_id").agg(
-        F.sum(cents(F.col("amount"))).alias("paid"), F.count(F.lit(1)).alias("payments")
-    )
+    """Paid cents, payments and distinct orders per value of one order column.
 
-    def once_per_order(joined: DataFrame) -> DataFrame:
-        # the rows are partitioned by order already: no shuffle, and counting
-        # these rows counts distinct orders
-        return joined.groupBy("order_id", group).agg(
-            F.sum("paid").alias("paid"), F.sum("payments").alias("payments")
+    Orders are counted per key and group first, so that equal ones are one row and each
+    joined row stands for one order of its group.
+    """
+    placed = (
+        not_cancelled(orders).groupBy("order_id", group).agg(F.count(F.lit(1)).alias("times"))
+    )
+    paid = per_key(
+        payments,
+        "order_id",
+        F.sum(cents(F.col("amount"))).alias("paid"),
+        F.count(F.lit(1)).alias("payments"),
+    )
+    return (
+        placed.join(paid, "order_id")
+        .groupBy(group)
+        .agg(
+            F.sum(F.col("paid") * F.col("times")).alias("paid"),
+            F.sum(F.col("payments") * F.col("times")).alias("payments"),
+            F.count(F.lit(1)).alias("orders"),
         )
-
-    placed = not_cancelled(orders).select("order_id", group)
-    per_order = join_on_unique(placed, paid, "order_id", once_per_order)
-    return per_order.groupBy(group).agg(
-        F.sum("paid").alias("paid"),
-        F.sum("payments").alias("payments"),
-        F.count(F.lit(1)).alias("orders"),
     )
 
 
@@ -135,37 +139,26 @@ def product_performance(
     order_items: DataFrame, products: DataFrame, orders: DataFrame
 ) -> DataFrame:
     """Units and revenue, at the item's own price, per product."""
-    sold_orders = not_cancelled(orders).groupBy("order_id").agg(F.count(F.lit(1)).alias("times"))
+    sold = per_key(not_cancelled(orders), "order_id", F.count(F.lit(1)).alias("times"))
     lines = order_items.select(
         "order_id",
         "product_id",
         F.col("quantity").cast("bigint").alias("units"),
         (cents(F.col("price")) * F.col("quantity")).alias("value"),
     ).where(F.col("product_id").isNotNull())
-
-    def per_product(joined: DataFrame) -> DataFrame:
-        return joined.select(
-            "product_id",
-            (F.col("units") * F.col("times")).alias("units"),
-            (F.col("value") * F.col("times")).alias("value"),
-        )
-
-    sales = (
-        join_on_unique(lines, sold_orders, "order_id", per_product)
-        .groupBy("product_id")
-        .agg(F.sum("units").alias("units"), F.sum("value").alias("value"))
+    sales = per_key(
+        lines.join(sold, "order_id"),
+        "product_id",
+        F.sum(F.col("units") * F.col("times")).alias("units"),
+        F.sum(F.col("value") * F.col("times")).alias("value"),
     )
-
-    def per_listing(joined: DataFrame) -> DataFrame:
-        return joined.groupBy("product_id", "product_name", "category").agg(
-            F.sum("units").alias("quantity_sold"), F.sum("value").alias("value")
-        )
-
-    listings = products.select("product_id", "product_name", "category")
-    return join_on_unique(listings, sales, "product_id", per_listing).select(
+    listings = products.groupBy("product_id", "product_name", "category").agg(
+        F.count(F.lit(1)).alias("times")
+    )
+    return listings.join(sales, "product_id").select(
         "product_id",
         "product_name",
         "category",
-        "quantity_sold",
-        money(F.col("value")).alias("total_revenue"),
+        (F.col("units") * F.col("times")).alias("quantity_sold"),
+        money(F.col("value") * F.col("times")).alias("total_revenue"),
     )

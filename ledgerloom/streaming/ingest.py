@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.operators.clean import quarantine, valid_rows
+from ledgerloom.operators.clean import rejected, valid_rows
 from ledgerloom.sources import files
 
 
@@ -54,7 +54,7 @@ def ingest(
         schema = spark.read.format(fmt).load(source).schema
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
+        reader = files.csv_options(reader)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         day = _day(batch.sparkSession, f"{target}/as_of/{table}/batch_id={batch_id}", as_of)
@@ -62,7 +62,7 @@ def ingest(
         try:
             for kind, part in (
                 ("valid", valid_rows(rows, table, day)),
-                ("rejected", quarantine(rows, table, day)),
+                ("rejected", rejected(rows, table, day)),
             ):
                 part.write.mode("overwrite").parquet(f"{target}/{kind}/{table}/batch_id={batch_id}")
         finally:

@@ -69,16 +69,16 @@ raw_payments AS (
 """
 
 CLEAN = f"""
-clean_customers AS (
-  SELECT customer_id, name, email, signup_date, country
-  FROM (SELECT *, row_number() OVER (
-                 PARTITION BY customer_id
-                 ORDER BY name NULLS FIRST, email NULLS FIRST, signup_date NULLS FIRST,
-                          country NULLS FIRST) AS copy
-        FROM raw_customers
-        WHERE customer_id IS NOT NULL AND customer_id <> ''
-          AND name IS NOT NULL AND name <> '' AND email LIKE '%@%')
-  WHERE copy = 1),
+valid_customers AS (
+  SELECT customer_id, name, email, signup_date, country,
+         row_number() OVER (
+           PARTITION BY customer_id
+           ORDER BY country NULLS FIRST, name NULLS FIRST, email NULLS FIRST,
+                    signup_date NULLS FIRST) AS copy
+  FROM raw_customers
+  WHERE customer_id IS NOT NULL AND customer_id <> ''
+    AND name IS NOT NULL AND name <> '' AND email LIKE '%@%'),
+clean_customers AS (SELECT * EXCLUDE (copy) FROM valid_customers WHERE copy = 1),
 clean_products AS (
   SELECT * FROM raw_products
   WHERE product_id IS NOT NULL AND product_id <> '' AND price >= 0 AND stock >= 0
@@ -265,7 +265,9 @@ QUERIES = {
             ("email NOT LIKE '%@%'", "email_invalid"),
             ("email IS NULL", "email_missing"),
         ],
-    ),
+    )
+    + " UNION ALL SELECT * EXCLUDE (copy), 'customer_id_duplicate' AS reasons "
+    "FROM valid_customers WHERE copy > 1",
     "quarantine_products": _reasons(
         "products",
         [

@@ -1,0 +1,112 @@
+"""Keys that hold much: equal results, balanced partitions, no job while planning."""
+
+from __future__ import annotations
+
+import statistics
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.joins import per_key
+from ledgerloom.plans import marts
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Every join is shuffled, and what is far above the median counts as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _orders(spark, rows, order_id, customer_id):
+    return spark.range(rows, numPartitions=8).select(
+        order_id.alias("order_id"), customer_id.alias("customer_id"), F.lit("Shipped").alias("status")
+    )
+
+
+def _payments(spark, keys, each):
+    return spark.range(keys * each, numPartitions=8).select(
+        F.concat(F.lit("O"), (F.col("id") % keys).cast("string")).alias("order_id"),
+        F.lit("1.25").cast("decimal(18,2)").alias("amount"),
+    )
+
+
+def test_per_key_sums(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 4), (None, 5), ("", 1)], "k string, v int")
+    assert {tuple(r) for r in per_key(df, "k", F.sum("v").alias("v")).collect()} == {
+        ("a", 3),
+        (None, 9),
+        ("", 1),
+    }
+
+
+@pytest.mark.parametrize("heavy", [250, 300])
+def test_many_equally_heavy_keys_stay_balanced(spark, shuffled, heavy):
+    """Each key has 400 orders of 40 customers and 50 payments: no pairs, no full partition."""
+    key = F.col("id") % heavy
+    orders = _orders(
+        spark,
+        heavy * 400,
+        F.concat(F.lit("O"), key.cast("string")),
+        F.concat(F.lit("C"), (F.floor(F.col("id") / heavy) % 40).cast("string")),
+    )
+    value = marts.customer_lifetime_value(orders, _payments(spark, heavy, 50))
+    rows = {r["customer_id"]: (float(r["total_spent"]), r["order_count"]) for r in value.collect()}
+    assert rows == {f"C{k}": (heavy * 10 * 50 * 1.25, heavy) for k in range(40)}
+    placed = orders.groupBy("order_id", "customer_id").count().repartition(32, "order_id")
+    sizes = Counter(r[0] for r in placed.select(F.spark_partition_id()).collect())
+    held = [sizes.get(p, 0) for p in range(32)]
+    assert max(held) <= 3 * statistics.median(held)
+
+
+def test_an_order_of_many_customers_is_split(spark, shuffled):
+    """Half of the orders share a key and each has a customer of its own: the one row of the key's
+    payments meets them in several tasks."""
+    hot = F.col("id") % 2 == 0
+    orders = _orders(
+        spark,
+        200_000,
+        F.when(hot, "O7").otherwise(F.concat(F.lit("O"), (F.col("id") % 4_000).cast("string"))),
+        F.concat(F.lit("C"), F.col("id").cast("string")),
+    )
+    value = marts.customer_lifetime_value(orders, _payments(spark, 4_000, 3))
+    assert value.agg(F.count("*"), F.sum("order_count"), F.sum("total_spent")).first()[:2] == (200_000,) * 2
+    totals = value.agg(F.sum("total_spent"))
+    assert float(totals.first()[0]) == 200_000 * 3 * 1.25
+    value.collect()
+    assert "skew=true" in _plan(value)
+
+
+def test_heavy_keys_change_neither_scans_nor_jobs(spark, tmp_path):
+    """The plan does not depend on the data, and building it runs nothing."""
+    plans = []
+    for name, key in (("light", F.col("id").cast("string")), ("heavy", F.lit("1"))):
+        orders = _orders(spark, 5_000, F.concat(F.lit("O"), key), F.concat(F.lit("C"), F.col("id")))
+        orders.write.parquet(f"{tmp_path}/{name}")
+        _payments(spark, 100, 2).write.parquet(f"{tmp_path}/{name}-paid")
+        spark.sparkContext.setJobGroup(f"plan-{name}", "no job expected")
+        frames = [spark.read.schema(x.schema).parquet(p) for x, p in (
+            (orders, f"{tmp_path}/{name}"), (_payments(spark, 1, 1), f"{tmp_path}/{name}-paid"))]
+        value = marts.customer_lifetime_value(*frames)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"plan-{name}")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        plans.append(_plan(value))
+    counts = [(p.count("FileScan"), p.count("Exchange"), p.count("Join")) for p in plans]
+    assert counts[0] == counts[1] and counts[0][0] == 2
