@@ -1,9 +1,13 @@
 """Quality rules as weak supervision: rules vote or abstain, a label model weighs them.
 
 Each rule looks at one property of a text and votes 1 (looks good), 0 (looks bad)
-or abstains. Expectation-maximisation over the counts of vote patterns estimates
-how often each rule votes which way on good and on bad texts, and with that the
-probability that a text is good. A text is kept when this posterior reaches one
+or abstains. No rule decides alone: several look at the same kind of fault, they overlap,
+and each is wrong on some good texts. The label model has a class of good texts and one for each
+kind of fault, and in every class each rule has its rates of bad votes, abstentions and good
+votes. Rules that depend on each other because they see the same fault are independent
+within its class. Expectation-maximisation over the counts of vote patterns estimates all
+rates and the classes' shares, free of bounds; a weak prior of the start values names the
+classes. The posterior probability of the good class decides: a text is kept when it reaches one
 half and the two hard rules of the base hold.
 
 All rows are counted. There are at most 3**rules patterns, whatever the input, so
@@ -14,15 +18,16 @@ they occur. A column is never used beyond the text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerloom.llm.common import per_text, ship, text_column
+from ledgerloom.llm.common import per_text, ship, slices
 from ledgerloom.session import materialize
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -103,16 +108,20 @@ def base_failed() -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes by a share: at most ``good`` is good, at least ``bad`` is bad, between abstains."""
+    """Votes by a measure: at most ``good`` is good, at least ``bad`` is bad, between abstains.
+
+    ``fault`` is the kind of bad text that the rule is meant to see.
+    """
 
     name: str
-    share: Callable[[], Column]
+    fault: str
+    value: Callable[[], Column]
     good: float
     bad: float
 
     def vote(self) -> Column:
-        share = self.share()
-        return F.when(share <= self.good, 1).when(share >= self.bad, 0).otherwise(-1)
+        value = self.value()
+        return F.when(value <= self.good, 1).when(value >= self.bad, 0).otherwise(-1)
 
 
 def _share(part: str, whole: str) -> Callable[[], Column]:
@@ -120,111 +129,106 @@ def _share(part: str, whole: str) -> Callable[[], Column]:
     return lambda: F.coalesce(F.try_divide(F.col(part).cast("double"), F.col(whole)), F.lit(0.0))
 
 
-def _odd_length() -> Column:
-    """How far the mean word is from 3 to 12 code points, as a share."""
-    mean = _share("word_chars", "n_words")()
-    return F.greatest(3 - mean, mean - 12, F.lit(0.0))
+_mean_word = _share("word_chars", "n_words")
+
+
+def _marks() -> Column:
+    """Symbols and bare marks per word."""
+    return _share("n_symbols", "n_words")() + _share("n_bare", "n_words")()
+
 
+def _sameness() -> Column:
+    """Share of words that the text has used before."""
+    return F.when(F.col("n_words") > 0, 1 - _share("n_distinct", "n_words")()).otherwise(0.0)
 
-def _few_words() -> Column:
-    """Distance of the vocabulary from its usual growth with the square root of the length."""
-    grown = F.col("n_distinct") / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
-    return 1 / F.greatest(grown, F.lit(0.01))
+
+def _shortness() -> Column:
+    return 1 / F.greatest(F.col("n_words"), F.lit(1)).cast("double")
 
 
 RULES = (
-    Rule("symbols", _share("n_symbols", "n_words"), 0.05, 0.3),
-    Rule("repeats", _share("n_repeat_words", "n_words"), 0.15, 0.35),
-    Rule("dup_lines", _share("n_dup_lines", "n_lines"), 0.1, 0.4),
-    Rule("upper", _share("n_upper", "n_letters"), 0.2, 0.5),
-    Rule("bangs", _share("n_bangs", "n_words"), 0.05, 0.25),
-    Rule("bare", _share("n_bare", "n_words"), 0.05, 0.2),
-    Rule("word_length", _odd_length, 0.0, 2.0),
-    Rule("vocabulary", _few_words, 0.3, 0.6),
+    Rule("symbols", "symbols", _share("n_symbols", "n_words"), 0.05, 0.2),
+    Rule("symbol_chars", "symbols", _share("n_symbols", "word_chars"), 0.01, 0.06),
+    Rule("long_words", "symbols", _mean_word, 5.8, 6.5),
+    Rule("bare", "layout", _share("n_bare", "n_words"), 0.03, 0.15),
+    Rule("short_words", "layout", lambda: -_mean_word(), -4.8, -4.55),
+    Rule("marks", "layout", _marks, 0.05, 0.2),
+    Rule("repeats", "repetition", _share("n_repeat_words", "n_words"), 0.05, 0.2),
+    Rule("dup_lines", "repetition", _share("n_dup_lines", "n_lines"), 0.05, 0.25),
+    Rule("sameness", "repetition", _sameness, 0.3, 0.42),
+    Rule("shortness", "form", _shortness, 1 / 80, 1 / 50),
+    Rule("short_lines", "form", _share("n_lines", "n_words"), 0.12, 0.25),
+    Rule("upper", "form", _share("n_upper", "n_letters"), 0.03, 0.06),
 )
 
+GOOD_SHARE = 0.8  # of the start
+PRIOR_TEXTS = 20.0  # as many texts as the start values count for
+#: rates of bad votes, abstentions and good votes at the start: of any rule on good texts, of a rule
+#: on its own fault, and of a rule on another fault
+_ON_GOOD, _ON_OWN, _ON_OTHER = (0.03, 0.12, 0.85), (0.7, 0.15, 0.15), (0.1, 0.2, 0.7)
+_OUTCOMES = (0, -1, 1)
+
 
 @dataclass(frozen=True)
 class LabelModel:
-    """Latent classes: good texts, and one way of being bad for each rule.
+    """Latent classes: good texts first, then one per kind of fault.
 
-    ``prior`` has the share of each class, ``bad`` the rate at which each rule votes
-    bad in each class, given that it votes. Row 0 is the class of good texts.
+    ``prior`` has the share of each class, ``rates`` by class and rule the rates of bad votes,
+    abstentions and good votes.
     """
 
     prior: np.ndarray
-    bad: np.ndarray
-
-    def weights(self) -> np.ndarray:
-        """Class by rule: log of the rates of (bad, good) votes."""
-        return np.log(np.stack([self.bad, 1 - self.bad]))
+    rates: np.ndarray
 
     def classes(self, votes: np.ndarray) -> np.ndarray:
         """P(class | votes) for rows of votes (1, 0, -1)."""
-        if_bad, if_good = self.weights()
-        log = np.log(self.prior) + (votes == 0) @ if_bad.T + (votes == 1) @ if_good.T
+        log = np.log(self.prior) + np.einsum("nro,cro->nc", outcomes(votes), np.log(self.rates))
         share = np.exp(log - log.max(1, keepdims=True))
         return share / share.sum(1, keepdims=True)
 
     def accuracy(self) -> np.ndarray:
-        """Of each rule: P(it votes good | good) and P(it votes bad | its own way of being bad)."""
-        return np.stack([1 - self.bad[0], np.diag(self.bad[1:])])
+        """Of each rule: the rate of good votes on good texts, and of bad votes on faulty ones."""
+        faulty = self.prior[1:] / self.prior[1:].sum()
+        return np.stack([self.rates[0, :, 2], faulty @ self.rates[1:, :, 0]])
 
     def posterior(self, votes: list[Column]) -> Column:
         """P(good | votes) as a column: 1 / (1 + the sum of the other classes' odds)."""
-        if_bad, if_good = self.weights()
-        # by class and rule, for a vote of -1, 0 and 1
-        odds = np.stack([np.zeros_like(if_bad), if_bad - if_bad[0], if_good - if_good[0]], 2)
-        first = np.log(self.prior / self.prior[0])
-        table = F.array(
-            *[
-                F.struct(
-                    F.lit(float(first[k])).alias("first"),
-                    F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in odds[k]]).alias("odds"),
-                )
-                for k in range(1, len(self.prior))
-            ]
-        )
-
-        def of(cast: Column) -> Column:
-            """For the array of votes, which is bound here so that it is computed once."""
-
-            def log(k: Column) -> Column:
-                part = F.zip_with(k["odds"], cast, lambda row, v: F.get(row, v + 1))
-                return F.aggregate(part, k["first"], lambda total, x: total + x)
-
-            others = F.aggregate(table, F.lit(0.0), lambda total, k: total + F.exp(log(k)))
-            return 1 / (1 + others)
-
-        return F.get(F.transform(F.array(F.array(*votes)), of), F.lit(0))
-
-
-def start(n_rules: int) -> LabelModel:
-    bad = np.full((n_rules + 1, n_rules), 0.1)
-    bad[0] = 0.01
-    bad[np.arange(1, n_rules + 1), np.arange(n_rules)] = 0.9
-    return LabelModel(np.array([0.8] + [0.2 / n_rules] * n_rules), bad)
-
-
-def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 50) -> LabelModel:
-    """EM over vote patterns and how many texts have each.
-
-    The start says: good texts rarely get a bad vote, and each rule has a way of being
-    bad that it mostly sees. Pseudo-texts of the start keep rates off 0 and 1. Two
-    bounds keep the classes what they are: a rule errs on at most one good text in
-    fifty, and sees its own way of being bad more often than not. Without any text
-    the start values stay.
-    """
-    n_rules = votes.shape[1]
-    first = model = start(n_rules)
-    own = (np.arange(1, n_rules + 1), np.arange(n_rules))
+        odds = np.log(self.rates) - np.log(self.rates[0])
+        others = F.lit(0.0)
+        for k in range(1, len(self.prior)):
+            log = F.lit(float(np.log(self.prior[k] / self.prior[0])))
+            for rule, vote in zip(odds[k], votes, strict=True):
+                bad, abstained, good = (F.lit(float(x)) for x in rule)
+                log = log + F.when(vote == 0, bad).when(vote == 1, good).otherwise(abstained)
+            others = others + F.exp(log)
+        return 1 / (1 + others)
+
+
+def outcomes(votes: np.ndarray) -> np.ndarray:
+    """Votes as indicators by text, rule and outcome."""
+    return np.stack([votes == o for o in _OUTCOMES], 2).astype(float)
+
+
+def start(rules: tuple[Rule, ...] = RULES) -> LabelModel:
+    faults = list(dict.fromkeys(r.fault for r in rules))
+    rates = [[_ON_GOOD] * len(rules)]
+    rates += [[_ON_OWN if r.fault == fault else _ON_OTHER for r in rules] for fault in faults]
+    prior = [GOOD_SHARE] + [(1 - GOOD_SHARE) / len(faults)] * len(faults)
+    return LabelModel(np.array(prior), np.array(rates))
+
+
+def fit(
+    votes: np.ndarray, counts: np.ndarray, rules: tuple[Rule, ...] = RULES, rounds: int = 60
+) -> LabelModel:
+    """EM over vote patterns and how many texts have each; without any text the start values stay."""
+    first = model = start(rules)
+    seen = outcomes(votes)
     for _ in range(rounds if len(counts) else 0):
         share = model.classes(votes) * counts[:, None]
-        bad = (share.T @ (votes == 0) + first.bad) / (share.T @ (votes >= 0) + 1)
-        bad[own] = np.maximum(bad[own], 0.5)
-        bad[0] = np.minimum(bad[0], 0.02)
-        prior = (share.sum(0) + first.prior) / (counts.sum() + 1)
-        model = LabelModel(prior, np.clip(bad, 1e-6, 1 - 1e-6))
+        held = share.sum(0)
+        rates = np.einsum("nro,nc->cro", seen, share) + PRIOR_TEXTS * first.rates
+        prior = held + PRIOR_TEXTS * first.prior
+        model = LabelModel(prior / prior.sum(), rates / (held + PRIOR_TEXTS)[:, None, None])
     return model
 
 
@@ -234,17 +238,18 @@ def learn(counted: DataFrame, rules: tuple[Rule, ...] = RULES) -> LabelModel:
     cast = counted.select(*[r.vote().alias(v) for r, v in zip(rules, votes, strict=True)])
     patterns = cast.groupBy(*votes).count().collect()  # at most 3**rules rows
     table = np.array([list(p)[:-1] for p in patterns], int).reshape(-1, len(rules))
-    return fit(table, np.array([p["count"] for p in patterns], int))
+    return fit(table, np.array([p["count"] for p in patterns], int), rules)
 
 
 def _judged(counted: DataFrame, model: LabelModel, rules: tuple[Rule, ...]) -> DataFrame:
-    posterior = model.posterior([r.vote() for r in rules])
-    return counted.withColumns(
-        {
-            "base_failed": base_failed(),
-            "posterior": posterior,
-            "kept": ~base_failed() & (posterior >= 0.5),
-        }
+    """``counted`` with ``base_failed``, ``posterior`` and ``kept``."""
+    names = [f"_vote_{r.name}" for r in rules]
+    cast = counted.withColumns({v: r.vote() for r, v in zip(rules, names, strict=True)})
+    posterior = model.posterior([F.col(v) for v in names])
+    return (
+        cast.withColumns({"base_failed": base_failed(), "posterior": posterior})
+        .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5))
+        .drop(*names)
     )
 
 
@@ -263,22 +268,36 @@ def judge(
     return _judged(counted, learn(counted, rules), rules)
 
 
+def _with_features(rows: DataFrame, text: str, keep: bool) -> DataFrame:
+    """FEATURES of each row's text, after all of its columns or alone; rows stay where they are.
+
+    Rows go through Python as Arrow batches and come back in slices of the same memory, so no
+    row waits in the JVM for its counts.
+    """
+    ship(rows.sparkSession)
+    kind = T.StructType([T.StructField(n, T.DataType.fromDDL(t)) for n, t in FEATURES.items()])
+    source = rows if keep else rows.select(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, text):
+                counts = _columns([t or "" for t in piece[text].to_pylist()])
+                kept = [(n, piece[n]) for n in piece.schema.names] if keep else []
+                found = [*kept, *zip(FEATURES, counts, strict=True)]
+                yield pa.RecordBatch.from_arrays([c for _, c in found], [n for n, _ in found])
+        pa.default_memory_pool().release_unused()
+
+    return source.mapInArrow(run, T.StructType([*(source.schema if keep else []), *kind]))
+
+
 def keep(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with all their columns.
 
-    Texts are measured twice, once for the estimate and once in place; no row is moved.
+    Texts are measured twice, once for the estimate and once beside their rows; no row is moved.
     """
-    ship(docs.sparkSession)
-    text = F.col(f"`{text_col}`")
-    kind = ",".join(f"{n}:{t}" for n, t in FEATURES.items())
-
-    def make():
-        return lambda texts: pa.StructArray.from_arrays(_columns(texts), list(FEATURES))
-
-    measured = docs.select(text_column(text, f"struct<{kind}>", make).alias("m")).select("m.*")
-    model = learn(materialize(measured, "quality"), rules)
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        text_column(text, f"struct<{kind}>", make).alias("m"),
-    )
-    return _judged(rows.select("row", "m.*"), model, rules).where("kept").select("row.*")
+    columns = docs.columns
+    rows = docs.toDF(*[f"_{i}" for i in range(len(columns))])  # no name clashes with a count
+    text = f"_{columns.index(text_col)}"
+    model = learn(materialize(_with_features(rows, text, False), "quality"), rules)
+    judged = _judged(_with_features(rows, text, True), model, rules)
+    return judged.where("kept").select(*rows.columns).toDF(*columns)
