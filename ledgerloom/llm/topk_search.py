@@ -42,7 +42,7 @@ PIVOTS = 64  # at most
 RINGS = 8  # per pivot, at most
 SAMPLE = 4096  # vectors to which pivots and rings are fitted
 PER_PIVOT = 2048  # vectors for each pivot of a small table
-FIRST = 4096  # vectors that the first round covers, for each query
+FIRST = 1024  # vectors that the first round covers, for each query
 GROWTH = 8
 BLOCK_BYTES = 1 << 20
 BLOCK = 4096
