@@ -15,7 +15,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,23 +77,58 @@ def texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch["text"].to_pylist()]
 
 
-def text_column(
-    text: Column, sql_type: str, make: Callable[[], Callable[[list[str]], pa.Array]]
-) -> Column:
-    """A column computed from a text column in place, so that rows keep what else they have.
+def _rows_through(
+    docs: DataFrame, text_col: str, work: Callable[[], Callable[[pa.RecordBatch, str], pa.RecordBatch]]
+) -> DataFrame:
+    """``docs`` after ``work()`` on slices of whole rows, told the name of the text column there.
 
-    ``make`` runs once per Python worker and use; its function sees a slice of texts at a time.
+    Rows go through Python as Arrow batches, so none waits in the JVM for what becomes of its text.
     """
-    made: list = []
+    ship(docs.sparkSession)
+    columns = docs.columns
+    rows = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    text = f"_{columns.index(text_col)}"
+    named = rows.toDF(*[f"_{i}" for i in range(len(columns))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change = work()
+        for batch in batches:
+            for piece in slices(batch, text):
+                yield change(piece, text)
+        pa.default_memory_pool().release_unused()
+
+    return named.mapInArrow(run, named.schema).toDF(*columns)
+
+
+def with_texts(docs: DataFrame, text_col: str, change: Callable[[str], str]) -> DataFrame:
+    """``docs`` with each text changed in place; NULL texts and all other columns stay."""
+
+    def work():
+        def changed(piece: pa.RecordBatch, text: str) -> pa.RecordBatch:
+            given = piece[text].to_pylist()
+            new = pa.array([t if t is None else change(t) for t in given], pa.string())
+            parts = [new if n == text else piece[n] for n in piece.schema.names]
+            return pa.RecordBatch.from_arrays(parts, piece.schema.names)
+
+        return changed
+
+    return _rows_through(docs, text_col, work)
+
+
+def rows_where(
+    docs: DataFrame, text_col: str, make: Callable[[], Callable[[list[str]], list[bool]]]
+) -> DataFrame:
+    """The rows of ``docs`` whose texts ``make()`` says yes to; a NULL text counts as empty."""
+
+    def work():
+        wanted = make()
+
+        def kept(piece: pa.RecordBatch, text: str) -> pa.RecordBatch:
+            return piece.filter(pa.array(wanted([t or "" for t in piece[text].to_pylist()]), pa.bool_()))
 
-    def run(column: pa.Array) -> pa.Array:
-        if not made:
-            made.append(make())
-        batch = pa.RecordBatch.from_arrays([column], ["text"])
-        parts = [made[0](texts(piece)) for piece in slices(batch)]
-        return pa.concat_arrays(parts) if parts else made[0]([])
+        return kept
 
-    return F.arrow_udf(run, sql_type)(text.cast("string"))
+    return _rows_through(docs, text_col, work)
 
 
 def per_text(

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import id_and_text, ship, slices, text_column, texts
+from ledgerloom.llm.common import id_and_text, rows_where, ship, slices, texts
 
 GRAM, WINDOW = 5, 6
 SPAN = GRAM + WINDOW - 1
@@ -314,11 +314,11 @@ def without_leaks(
         shared = spark.sparkContext.broadcast(block)
 
         def make(shared=shared):
-            def hit(texts: list[str]) -> pa.Array:
+            def free(texts: list[str]) -> list[bool]:
                 spans, _ = shared.value.search([words(t) for t in texts])
-                return pa.array([bool(x) for x in spans])
+                return [not x for x in spans]
 
-            return hit
+            return free
 
-        docs = docs.where(~text_column(F.col(f"`{text_col}`"), "boolean", make))
+        docs = rows_where(docs, text_col, make)
     return docs

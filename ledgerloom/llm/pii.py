@@ -20,10 +20,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerloom.llm import spans
-from ledgerloom.llm.common import per_text, ship, text_column
+from ledgerloom.llm.common import per_text, with_texts
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "local_phone")
 BASE = ("email", "ip", "card", "phone")
@@ -151,6 +150,18 @@ def ssns(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def apart(
+    matches: Iterator[re.Match], taken: list[tuple[int, int]]
+) -> Iterator[tuple[int, int]]:
+    """Matches that overlap none of ``taken``; both ascend, so one walk over both is enough."""
+    k = 0
+    for m in matches:
+        while k < len(taken) and taken[k][1] <= m.start():
+            k += 1
+        if k == len(taken) or taken[k][0] >= m.end():
+            yield m.span()
+
+
 def score(text: str, kind: str, start: int) -> float:
     before = text[max(0, start - CONTEXT) : start]
     return (
@@ -169,10 +180,8 @@ def scan(text: str, threshold: float = THRESHOLD) -> list[tuple[str, int, int, f
         found += [("phone", *x) for x in phones(text)]
         found += [("iban", *x) for x in ibans(text)]
         found += [("ssn", *x) for x in ssns(text)]
-        taken = [x[1:] for x in found if x[0] == "phone"]
-        for m in _LOCAL_PHONE.finditer(text):
-            if not any(s < m.end() and m.start() < e for s, e in taken):
-                found.append(("local_phone", *m.span()))
+        taken = [x[1:] for x in found if x[0] == "phone"]  # ascending, apart from each other
+        found += [("local_phone", *x) for x in apart(_LOCAL_PHONE.finditer(text), taken)]
     scored = [(k, s, e, score(text, k, s)) for k, s, e in found]
     return spans.ordered([x for x in scored if x[0] in BASE or x[3] >= threshold], KINDS)
 
@@ -214,11 +223,4 @@ def find_pii(
 
 def without_pii(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the spans of each text replaced by their kinds; a NULL text stays NULL."""
-    ship(docs.sparkSession)
-
-    def make():
-        return lambda texts: pa.array([redact(t, scan(t, threshold)) for t in texts], pa.string())
-
-    text = F.col(f"`{text_col}`")
-    clean = F.when(text.isNotNull(), text_column(text, "string", make))
-    return docs.withColumn(text_col, clean)
+    return with_texts(docs, text_col, lambda text: redact(text, scan(text, threshold)))

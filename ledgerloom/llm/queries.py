@@ -31,12 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _span_counts(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+def _span_counts(found: DataFrame, kinds: tuple[str, ...], *more: Column) -> DataFrame:
     return found.select(
         "doc_id",
         *[spans.count("spans", k).alias(f"n_{k}") for k in kinds],
         spans.base_digest("spans").alias("base_sha256"),
         spans.joined(F.col("spans")).alias("spans"),
+        *more,
     )
 
 
@@ -73,7 +74,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _span_counts(pii.find_pii(table(spark, sf_dir, "documents")), pii.BASE)
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    # what context did: added spans, and the scores of all spans in their order
+    scores = F.transform("scores", lambda x: F.round(x, 1).cast("string"))
+    added = F.size(F.filter("spans", lambda x: ~x["base"])).cast("long")
+    return _span_counts(
+        found, pii.BASE, added.alias("n_added"), F.array_join(scores, ",").alias("scores")
+    )
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,7 +70,7 @@ def _json_header(m: re.Match) -> bool:
     head = "eyJ" + m[1]
     try:
         return isinstance(json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4))), dict)
-    except ValueError:
+    except (ValueError, RecursionError):  # not JSON, or nested deeper than any header
         return False
 
 

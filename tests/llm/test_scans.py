@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -94,6 +96,49 @@ def test_redaction_joins_overlapping_spans():
     assert pii.redact("0123456789", [("a", 1, 4), ("b", 3, 6), ("c", 6, 7)]) == "0<A><C>789"
 
 
+def test_deeply_nested_token_headers():
+    """What looks like a token whose header is JSON nested 200,000 deep is no token, and no error."""
+    deep = base64.urlsafe_b64encode(b'{"a":' * 200_000 + b"1" + b"}" * 200_000).decode().rstrip("=")
+    good = base64.urlsafe_b64encode(b'{"alg":"HS256","typ":"JWT"}').decode().rstrip("=")
+    assert deep.startswith("eyJ")
+    assert [x[0] for x in secret_scan.scan(f"{deep}.abcdefgh.abcdefghij")] in ([], ["jwt"])
+    assert [x[0] for x in secret_scan.scan(f"see {good}.eyJzdWIiOiIxIn0.abcdefghijklmnop")] == ["jwt"]
+
+
+def test_phones_of_both_kinds_in_a_megabyte():
+    """Local and international phones in turn: one walk over both, in the time of a plain scan."""
+    text = "+1 202 555 0100x (017) 555-7713, " * 32_000
+    began = time.perf_counter()
+    found = pii.scan(text, threshold=0.5)
+    assert time.perf_counter() - began < 20
+    assert sum(x[0] == "phone" for x in found) == sum(x[0] == "local_phone" for x in found) == 32_000
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_walk_over_taken_spans_equals_all_pairs(seed):
+    rng = random.Random(seed)
+    for _ in range(200):
+        marks = "".join(rng.choices("ab.", k=40))
+        taken = [m.span() for m in re.finditer("a+", marks)]
+        want = [m.span() for m in re.finditer(r"[ab]b|b", marks) if not any(s < m.end() and m.start() < e for s, e in taken)]
+        assert list(pii.apart(re.finditer(r"[ab]b|b", marks), taken)) == want
+
+
+def test_context_moves_a_span_in_the_query(spark, tmp_path):
+    texts = [(1, "number 123-45-6789 was drawn"), (2, "my ssn is 123-45-6789 indeed"), (3, "mail a@b.co")]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: (r["n_added"], r["spans"], r["scores"]) for r in queries.op4_pii(spark, str(tmp_path)).collect()}
+    assert rows == {1: (0, "", ""), 2: (1, "ssn:10:21", "0.7"), 3: (0, "email:5:11", "1.2")}
+
+
+def test_changed_texts_keep_their_rows(spark):
+    docs = documents(spark, [*ODD, (12, "a@b.co"), (13, "1.2.3.4 x")])
+    clean = pii.without_pii(docs)
+    assert clean.columns == docs.columns and clean.schema == docs.schema
+    want = [r.asDict() | {"text": r["text"] and pii.redact(r["text"], pii.scan(r["text"]))} for r in docs.collect()]
+    assert sorted(str(r.asDict()) for r in clean.collect()) == sorted(map(str, want))
+
+
 def test_long_texts_take_linear_time():
     for text in ("1" * 300_000, "1." * 150_000, "a" * 300_000 + "@", "+1" * 100_000, "a@" * 100_000,
                  "token " * 50_000, "eyJ" * 100_000, "A" * 300_000, "AB12 " * 50_000, "token" + " " * 300_000):
