@@ -1,0 +1,93 @@
+"""Daily runs against one full run over the same rows."""
+
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+import pytest
+
+from ledgerloom.operators import clean as cleaning
+from ledgerloom.plans import marts
+from ledgerloom.plans.incremental import DailyRevenue
+from tests import rows as r
+
+DAYS = ("2024-03-01", "2024-06-15", "2025-01-01")
+
+
+def _rows(draw):
+    status = ["Delivered", "Cancelled", None, "Shipped"]
+    orders = [
+        r.order(
+            draw.choice(["O1", f"O{draw.randrange(60)}", "", None]),
+            date=f"202{draw.choice('3445')}-{draw.randrange(1, 13):02d}-{draw.randrange(1, 31):02d}",
+            status=draw.choice(status),
+        )
+        for _ in range(70)
+    ]
+    payments = [
+        r.payment(f"A{k}", draw.choice(["O1", f"O{draw.randrange(70)}"]), f"{draw.randrange(-3, 90)}.25")
+        for k in range(90)
+    ]
+    return orders, payments
+
+
+def _full(spark, given, day):
+    orders = r.raw(spark, "orders", *[x for o, _ in given for x in o])
+    payments = r.raw(spark, "payments", *[x for _, p in given for x in p])
+    return marts.monthly_revenue(cleaning.clean(orders, "orders", day), cleaning.clean(payments, "payments"))
+
+
+def _add(spark, daily, day, given):
+    orders, payments = given
+    daily.add(day, r.raw(spark, "orders", *orders), r.raw(spark, "payments", *payments))
+
+
+def _sorted(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_daily_runs_equal_one_full_run(spark, tmp_path, seed):
+    """Late payments, late orders, repeated orders, and orders dated after the run that brings them."""
+    draw = random.Random(seed)
+    daily, given = DailyRevenue(spark, str(tmp_path)), []
+    assert daily.monthly_revenue().collect() == []
+    for day in DAYS:
+        given.append(_rows(draw))
+        _add(spark, daily, day, given[-1])
+        assert _sorted(daily.monthly_revenue()) == _sorted(_full(spark, given, day))
+    # the last run again: the same result
+    _add(spark, daily, DAYS[-1], given[-1])
+    assert _sorted(daily.monthly_revenue()) == _sorted(_full(spark, given, DAYS[-1]))
+    with pytest.raises(ValueError, match="too late"):
+        _add(spark, daily, DAYS[0], given[0])
+
+
+def _files(root):
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in Path(root).rglob("*.parquet")}
+
+
+def test_months_without_new_rows_are_not_touched(spark, tmp_path):
+    daily = DailyRevenue(spark, str(tmp_path))
+    first = [r.order("O1", date="2024-01-05"), r.order("O2", date="2024-02-05")]
+    _add(spark, daily, DAYS[0], (first, [r.payment("A1", "O1"), r.payment("A2", "O2")]))
+    before = _files(tmp_path)
+    assert sum("changes" in f for f in before) == 2
+    # a payment for January and an order that nobody paid
+    _add(spark, daily, DAYS[1], ([r.order("O3", date="2024-05-05")], [r.payment("A3", "O1", "2.00")]))
+    after = _files(tmp_path)
+    assert {f: after[f] for f in before} == before
+    new = [f for f in after if f not in before and "changes" in f]
+    assert len(new) == 1 and "month=2024-01-01" in new[0]
+    months = {row["order_month"]: (float(row["revenue"]), row["orders_count"]) for row in daily.monthly_revenue().collect()}
+    assert months == {"2024-01": (12.0, 1), "2024-02": (10.0, 1)}
+
+
+def test_history_is_looked_up_for_touched_orders_only(spark, tmp_path):
+    """Nothing new: no order is touched, no month changes."""
+    daily = DailyRevenue(spark, str(tmp_path))
+    _add(spark, daily, DAYS[0], ([r.order("O1", date="2024-01-05")], [r.payment("A1", "O1")]))
+    _add(spark, daily, DAYS[1], ([], []))
+    assert not [f for f in _files(tmp_path) if "changes" in f and DAYS[1] in f]
+    assert daily.monthly_revenue().count() == 1

@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 from types import SimpleNamespace
 
+import duckdb
 import pytest
 
 from ledgerloom.operators import clean as cleaning
@@ -148,7 +149,10 @@ def test_report_is_one_csv_in_order(spark, tmp_path):
         "order_items": r.raw(spark, "order_items", r.item("I1", quantity=0)),
         "payments": r.raw(spark, "payments", r.payment("A1")),
     }
-    files.write_report(quality.report(raw, "2025-06-01"), str(tmp_path / "report"))
+    counts = {t: {} for t in raw}
+    for m in quality.dq_metrics(raw, "2025-06-01").collect():
+        counts[m["table"]][m["metric"]] = m["value"]
+    files.write_report(quality.report(spark, counts), str(tmp_path / "report"))
     (part,) = (tmp_path / "report").glob("part-*.csv")
     lines = part.read_text().splitlines()
     assert lines[0] == "table,metric,value"
@@ -182,15 +186,79 @@ class _Recorder:
         return None
 
 
-def test_jdbc_read_options():
-    session = SimpleNamespace(read=_Recorder())
-    seen = jdbc.read_table(
-        session, "jdbc:x", "t", {"user": "u"}, partition_column="id", lower=1, upper=9, partitions=4
+class _Source:
+    """Stands in for ``spark.read``; the bounds come from a table in this process's own DuckDB."""
+
+    def __init__(self, con):
+        self.con, self.calls = con, []
+
+    def jdbc(self, url, table, predicates=None, properties=None):
+        self.calls.append((table, predicates, properties))
+        if table.endswith(") bounds"):
+            return SimpleNamespace(collect=lambda: self.con.execute(f"SELECT * FROM {table}").fetchall())
+        return predicates
+
+
+@pytest.mark.parametrize(
+    ("kind", "value"),
+    [
+        ("VARCHAR", "chr(39) || k % 700"),
+        ("BIGINT", "k * 3 - 500"),
+        ("DATE", "DATE '2024-01-01' + CAST(k % 400 AS INTEGER)"),
+        ("TIMESTAMP", "TIMESTAMP '2024-01-01 10:00:00' + to_seconds(k)"),
+        ("DECIMAL(12,2)", "k / 7"),
+        ("VARCHAR", "CASE WHEN k % 3 = 0 THEN 'hot' ELSE 'x' || k END"),
+    ],
+)
+def test_jdbc_reads_in_parts_that_the_source_names(kind, value):
+    """Every row, NULL keys too, satisfies exactly one condition, and parts are about equal."""
+    con = duckdb.connect()
+    con.execute(
+        f"CREATE TABLE orders AS SELECT CASE WHEN k % 50 = 1 THEN NULL ELSE CAST({value} AS {kind}) END AS order_id "
+        "FROM (SELECT unnest(range(5000)) AS k)"
     )
-    assert seen["format"] == "jdbc" and seen["dbtable"] == "t" and seen["user"] == "u"
-    assert (seen["partitionColumn"], seen["lowerBound"], seen["numPartitions"]) == ("id", "1", "4")
-    session = SimpleNamespace(read=_Recorder())
-    assert "partitionColumn" not in jdbc.read_table(session, "jdbc:x", "t", {})
+    session = SimpleNamespace(read=_Source(con))
+    predicates = jdbc.read_table(session, "jdbc:x", "orders", {"user": "u"}, partitions=8)
+    (bounds, _, options), (table, _, _) = session.read.calls
+    assert "NTILE(8)" in bounds and options["user"] == "u" and table == "orders"
+    assert 6 <= len(predicates) <= 8
+    sizes = [con.execute(f"SELECT count(*) FROM orders WHERE {p}").fetchone()[0] for p in predicates]
+    hits = " + ".join(f"CAST(coalesce({p}, false) AS INTEGER)" for p in predicates)
+    assert con.execute(f"SELECT min({hits}), max({hits}) FROM orders").fetchone() == (1, 1)
+    assert sum(sizes) == 5000
+    if "hot" not in value:
+        assert max(sizes) <= 2.5 * min(sizes)
+
+
+def test_jdbc_parts_of_odd_tables():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE orders (order_id VARCHAR, other INTEGER)")
+    session = SimpleNamespace(read=_Source(con))
+    assert jdbc.read_table(session, "jdbc:x", "orders", {}) == ["1 = 1"]
+    con.execute("INSERT INTO orders VALUES (NULL, 1), ('a', 2), ('a', 3)")
+    assert jdbc.read_table(session, "jdbc:x", "orders", {}) == ["1 = 1"]
+    assert jdbc.read_table(session, "jdbc:x", "orders", {}, key="other", partitions=2) == [
+        "other < 3 OR other IS NULL",
+        "other >= 3",
+    ]
+    own = jdbc.hash_predicates("hashtext(order_id)", 4)
+    assert jdbc.read_table(session, "jdbc:x", "orders", {}, predicates=own) == own
+    assert jdbc.read_table(session, "jdbc:x", "sessions", {}, partitions=1) is None
+    with pytest.raises(ValueError, match="sessions"):
+        jdbc.read_table(session, "jdbc:x", "sessions", {})
+
+
+def test_malformed_lines_are_quarantined_whole(spark, tmp_path):
+    """Too few fields, too many, an unclosed quote: no such line is clean, its text is kept."""
+    lines = ["A1,O1,PayPal,5.00", "A2,O1", "A3,O1,PayPal,5.00,extra", 'A4,"O1,PayPal,5.00', "A5,O2,PayPal,6.00"]
+    _write(tmp_path, "payments.csv", "payment_id,order_id,payment_method,amount\n" + "\n".join(lines) + "\n")
+    df = files.read_table(spark, str(tmp_path), "payments")
+    assert {r["payment_id"] for r in cleaning.clean(df, "payments").collect()} == {"A1", "A5"}
+    out = {r["unread"]["line"]: r["reasons"] for r in cleaning.quarantine(df, "payments").collect()}
+    assert out == {line: ["line_malformed"] for line in lines[1:4]}
+    total = {m["metric"]: m["value"] for m in quality.table_metrics(df, "payments").collect()}
+    assert total["total_records"] == 5
+    assert files.unread_values(df).where("column_name = 'line'").count() == 3
 
 
 def test_jdbc_write_options():

@@ -2,7 +2,9 @@ from decimal import Decimal
 
 import pytest
 
+from ledgerloom.operators import clean as cleaning
 from ledgerloom.operators.clean import quarantine, valid_rows
+from ledgerloom.streaming import unique
 from ledgerloom.streaming.ingest import ingest
 from tests import rows as r
 
@@ -71,3 +73,55 @@ def test_a_replay_judges_by_the_same_day(spark, tmp_path):
     spark.createDataFrame([("2020-02-02",)], "day string").write.mode("overwrite").json(days)
     ingest(spark, "payments", *where, str(tmp_path / "s2")).awaitTermination(120)
     assert spark.read.json(days).first()["day"] == "2020-02-02"
+
+
+def test_malformed_lines_of_a_stream(spark, tmp_path):
+    folder = tmp_path / "in"
+    _payments(folder, "a.csv", "payment_id,order_id,payment_method,amount", "A1,O1,PayPal,5.00\nA2,O1\nA3,O1,x,5.00,y")
+    where = [str(tmp_path / name) for name in ("in", "out", "state")]
+    ingest(spark, "payments", *where).awaitTermination(120)
+    assert [r["payment_id"] for r in spark.read.parquet(f"{where[1]}/valid/payments").collect()] == ["A1"]
+    out = spark.read.parquet(f"{where[1]}/rejected/payments").collect()
+    assert {(r["unread"]["line"], *r["reasons"]) for r in out} == {
+        ("A2,O1", "line_malformed"),
+        ("A3,O1,x,5.00,y", "line_malformed"),
+    }
+
+
+def _customers(spark, folder, *rows):
+    r.raw(spark, "customers", *rows).coalesce(1).write.mode("append").option("header", True).csv(folder)
+
+
+def test_repeated_keys_of_a_stream(spark, tmp_path):
+    """A later row that comes first, a late duplicate, a rejected copy, a lost checkpoint."""
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    batches = [
+        [r.customer("C1", name="Cy"), r.customer("C2"), r.customer("C2"), r.customer("", name="x")],
+        [r.customer("C1", name="Al"), r.customer("C3", email="x"), r.customer("C4", country=None)],
+        [r.customer("C3"), r.customer("C4", country="Peru"), r.customer("", name="y"), r.customer("C1", name="Zed")],
+    ]
+    seen = []
+
+    def check():
+        everything = r.raw(spark, "customers", *seen)
+        stored = unique.clean(spark, target, "customers").collect()
+        assert sorted(map(str, stored)) == sorted(map(str, cleaning.clean(everything, "customers").collect()))
+        counts = everything.fillna("").groupBy("customer_id").count().where("count > 1").collect()
+        found = unique.repeated(spark, target, "customers").fillna("").collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, counts))
+
+    for rows in batches:
+        _customers(spark, source, *rows)
+        seen += rows
+        unique.track_keys(spark, "customers", source, target, str(tmp_path / "state")).awaitTermination(120)
+        check()
+    # a lost checkpoint: batch 0 again, over all files, beside batches of the first stream
+    _customers(spark, source, r.customer("C2", name="A"))
+    seen.append(r.customer("C2", name="A"))
+    unique.track_keys(spark, "customers", source, target, str(tmp_path / "other")).awaitTermination(120)
+    check()
+
+
+def test_only_tables_with_unique_keys_are_tracked(spark, tmp_path):
+    with pytest.raises(ValueError, match="orders"):
+        unique.track_keys(spark, "orders", str(tmp_path), str(tmp_path), str(tmp_path))
