@@ -7,6 +7,8 @@ counts as empty. Repeated rows give repeated results; a NULL id stays NULL.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -25,6 +27,32 @@ _LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 0x100
 
 _shipped: dict[str, str] = {}
 
+#: what this Python worker keeps between tasks: one thing at a time, by its kind and key
+_kept: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make: Callable[[], object]):
+    """``make()``, kept by this worker for its next tasks until another thing is kept, or ``forget``."""
+    if key not in _kept:
+        forget()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget() -> None:
+    """Give back the memory of what the worker kept for an operator that came before.
+
+    Workers outlive stages. A stage that begins with this has the memory that it has alone.
+    """
+    if not _kept:
+        return
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
 
 def lower_ascii(text: str) -> str:
     """``text`` with A-Z in lower case; offsets stay as they are."""
@@ -91,6 +119,7 @@ def _rows_through(
     named = rows.toDF(*[f"_{i}" for i in range(len(columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         change = work()
         for batch in batches:
             for piece in slices(batch, text):

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import per_text, ship, slices
+from ledgerloom.llm.common import forget, per_text, ship, slices
 from ledgerloom.session import materialize
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -279,6 +279,7 @@ def _with_features(rows: DataFrame, text: str, keep: bool) -> DataFrame:
     source = rows if keep else rows.select(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for piece in slices(batch, text):
                 counts = _columns([t or "" for t in piece[text].to_pylist()])

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm import parts
-from ledgerloom.llm.common import per_text, ship
+from ledgerloom.llm.common import kept, per_text, ship
 
 MARK = "▁"
 
@@ -212,11 +212,14 @@ class Encoded:
     round_trip: np.ndarray
 
 
+KNOWN_PARTS = 200_000  # that a Python worker keeps with their ids
+
+
 class Encoder:
     """Ids of texts by the rebuilt tokenizer, compared with sentencepiece when asked."""
 
     def __init__(
-        self, data: bytes, threads: int = 1, verify: bool = True, limit: int = parts.CACHED
+        self, data: bytes, threads: int = 1, verify: bool = True, limit: int = KNOWN_PARTS
     ):
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -334,15 +337,9 @@ class Encoder:
         return Encoded(ids, n_ids, marks & 1 > 0, (marks & 2 > 0) & plain)
 
 
-_kept: dict[tuple, Encoder] = {}
-
-
 def _encoder(data: bytes, threads: int, verify: bool) -> Encoder:
-    key = (zlib.crc32(data), threads, verify)
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = Encoder(data, threads, verify)
-    return _kept[key]
+    key = ("sentencepiece", zlib.crc32(data), threads, verify)
+    return kept(key, lambda: Encoder(data, threads, verify))
 
 
 def encode(
