@@ -36,14 +36,14 @@ def _times(copies: Column) -> Column:
 
 def customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
     country = (
-        F.when(_hits("c_custkey", 97, 42), "")
+        F.when(_hits("c_custkey", 89, 11), "")
         .when(F.col("n_name") == "NATION_0", "USA")
         .when(F.col("n_name") == "NATION_1", "UK")
         .otherwise(F.col("n_name"))
     )
     email = (
-        F.when(_hits("c_custkey", 97, 25), "invalid_email_format")
-        .when(_hits("c_custkey", 97, 26), F.lit(None))
+        F.when(_hits("c_custkey", 89, 23), "no mail at all")
+        .when(_hits("c_custkey", 89, 37), F.lit(None))
         .otherwise(
             F.concat(
                 F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))), F.lit("@example.com")
@@ -51,16 +51,16 @@ def customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
         )
     )
     rows = customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).select(
-        F.when(_hits("c_custkey", 97, 60), "")
+        F.when(_hits("c_custkey", 89, 53), "")
         .otherwise(_id("C", "c_custkey"))
         .alias("customer_id"),
-        F.when(_hits("c_custkey", 97, 8), "").otherwise(F.col("c_name")).alias("name"),
+        F.when(_hits("c_custkey", 89, 71), "").otherwise(F.col("c_name")).alias("name"),
         email.alias("email"),
         F.date_add(
-            F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 501).cast("int")
+            F.lit("2023-07-01").cast("date"), (F.col("c_custkey") % 430).cast("int")
         ).alias("signup_date"),
         country.alias("country"),
-        _times(F.when(_hits("c_custkey", 97, 10, 15), 2).otherwise(1)).alias("copy"),
+        _times(F.when(_hits("c_custkey", 89, 5, 29), 2).otherwise(1)).alias("copy"),
     )
     return rows.drop("copy")
 
@@ -69,12 +69,12 @@ def products(part: DataFrame) -> DataFrame:
     return part.select(
         _id("P", "p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
-        F.when(_hits("p_partkey", 30, 12), "").otherwise(F.col("p_type")).alias("category"),
-        F.when(_hits("p_partkey", 30, 5), _money(-49.99))
-        .when(_hits("p_partkey", 30, 20), _money(F.lit(None)))
+        F.when(_hits("p_partkey", 41, 9), "").otherwise(F.col("p_type")).alias("category"),
+        F.when(_hits("p_partkey", 41, 3), _money(-7.25))
+        .when(_hits("p_partkey", 41, 17), _money(F.lit(None)))
         .otherwise(_money(F.col("p_retailprice")))
         .alias("price"),
-        F.when(_hits("p_partkey", 30, 18), -10)
+        F.when(_hits("p_partkey", 41, 26), -3)
         .otherwise(F.col("p_size"))
         .cast("int")
         .alias("stock"),
@@ -83,21 +83,21 @@ def products(part: DataFrame) -> DataFrame:
 
 def orders(source: DataFrame) -> DataFrame:
     status = (
-        F.when(_hits("o_orderkey", 200, 125), F.lit(None))
+        F.when(_hits("o_orderkey", 190, 31), F.lit(None))
         .when(F.col("o_orderstatus") == "F", "Delivered")
         .when(F.col("o_orderstatus") == "P", "Cancelled")
         .when(_hits("o_orderkey", 2, 0), "Shipped")
         .otherwise("Processing")
     )
     return source.select(
-        F.when(_hits("o_orderkey", 5000, 4999), "")
+        F.when(_hits("o_orderkey", 4900, 4801), "")
         .otherwise(_id("O", "o_orderkey"))
         .alias("order_id"),
-        F.when(_hits("o_orderkey", 200, 100), F.lit(None))
+        F.when(_hits("o_orderkey", 190, 77), F.lit(None))
         .otherwise(_id("C", "o_custkey"))
         .alias("customer_id"),
-        F.when(_hits("o_orderkey", 200, 0), "2025-02-30")
-        .when(_hits("o_orderkey", 200, 150), "2099-01-01")
+        F.when(_hits("o_orderkey", 190, 13), "2024-06-31")
+        .when(_hits("o_orderkey", 190, 149), "2031-05-09")
         .otherwise(F.col("o_orderdate").cast("date").cast("string"))
         .alias("order_date"),
         status.alias("status"),
@@ -106,8 +106,8 @@ def orders(source: DataFrame) -> DataFrame:
 
 
 def order_items(lineitem: DataFrame) -> DataFrame:
-    missing_id = _hits("l_orderkey", 1000, 999) & (F.col("l_linenumber") == 1)
-    no_quantity = (F.col("l_orderkey") + F.col("l_linenumber")) % 500 == 7
+    missing_id = _hits("l_orderkey", 930, 607) & (F.col("l_linenumber") == 1)
+    no_quantity = (F.col("l_orderkey") + F.col("l_linenumber")) % 470 == 19
     return lineitem.select(
         F.when(missing_id, "")
         .otherwise(F.concat(_id("OI", "l_orderkey"), _id("-", "l_linenumber")))
@@ -115,35 +115,35 @@ def order_items(lineitem: DataFrame) -> DataFrame:
         _id("O", "l_orderkey").alias("order_id"),
         _id("P", "l_partkey").alias("product_id"),
         F.when(no_quantity, 0).otherwise(F.col("l_quantity").cast("int")).alias("quantity"),
-        F.when(_hits("l_partkey", 30, 5), _money(-49.99))
-        .when(_hits("l_orderkey", 700, 3), _money(F.lit(None)))
+        F.when(_hits("l_partkey", 41, 3), _money(-7.25))
+        .when(_hits("l_orderkey", 640, 11), _money(F.lit(None)))
         .otherwise(_money(F.col("l_extendedprice")))
         .alias("price"),
     )
 
 
 def payments(source: DataFrame) -> DataFrame:
-    """One payment per order, and a second one for every tenth order."""
-    methods = F.array(*[F.lit(m) for m in ("Credit Card", "PayPal", "Debit Card", "Bank Transfer")])
+    """One payment per order, and a second one for every ninth order."""
+    methods = F.array(*[F.lit(m) for m in ("card", "wallet", "cash", "voucher")])
     parts = source.select(
         "o_orderkey",
         "o_totalprice",
-        _times(F.when(_hits("o_orderkey", 10, 3), 2).otherwise(1)).alias("part"),
+        _times(F.when(_hits("o_orderkey", 9, 4), 2).otherwise(1)).alias("part"),
     )
     second = F.col("part") == 2
     return parts.select(
-        F.when(second, _id("PAYB", "o_orderkey"))
-        .when(_hits("o_orderkey", 1000, 333), "")
-        .otherwise(_id("PAY", "o_orderkey"))
+        F.when(second, _id("B", "o_orderkey"))
+        .when(_hits("o_orderkey", 870, 215), "")
+        .otherwise(_id("A", "o_orderkey"))
         .alias("payment_id"),
         _id("O", "o_orderkey").alias("order_id"),
-        F.when(second, "PayPal")
+        F.when(second, "wallet")
         .otherwise(F.element_at(methods, (F.col("o_orderkey") % 4 + 1).cast("int")))
         .alias("payment_method"),
-        F.when(second, _money(10.01))
-        .when(_hits("o_orderkey", 200, 50), _money(-50.0))
-        .when(_hits("o_orderkey", 200, 75), _money(0.0))
-        .when(_hits("o_orderkey", 200, 60), _money(F.lit(None)))
+        F.when(second, _money(6.45))
+        .when(_hits("o_orderkey", 190, 43), _money(-12.5))
+        .when(_hits("o_orderkey", 190, 88), _money(0.0))
+        .when(_hits("o_orderkey", 190, 121), _money(F.lit(None)))
         .otherwise(_money(F.col("o_totalprice")))
         .alias("amount"),
     )

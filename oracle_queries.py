@@ -10,61 +10,61 @@ AS_OF = "DATE '2025-01-01'"
 
 RAW = """
 raw_customers AS (
-  SELECT CASE WHEN c_custkey % 97 = 60 THEN '' ELSE 'C' || c_custkey END AS customer_id,
-         CASE WHEN c_custkey % 97 = 8 THEN '' ELSE c_name END AS name,
-         CASE WHEN c_custkey % 97 = 25 THEN 'invalid_email_format'
-              WHEN c_custkey % 97 = 26 THEN NULL
+  SELECT CASE WHEN c_custkey % 89 = 53 THEN '' ELSE 'C' || c_custkey END AS customer_id,
+         CASE WHEN c_custkey % 89 = 71 THEN '' ELSE c_name END AS name,
+         CASE WHEN c_custkey % 89 = 23 THEN 'no mail at all'
+              WHEN c_custkey % 89 = 37 THEN NULL
               ELSE lower(replace(c_name, '#', '.')) || '@example.com' END AS email,
-         CAST(DATE '2024-01-01' + CAST(c_custkey % 501 AS INTEGER) AS DATE) AS signup_date,
-         CASE WHEN c_custkey % 97 = 42 THEN ''
+         CAST(DATE '2023-07-01' + CAST(c_custkey % 430 AS INTEGER) AS DATE) AS signup_date,
+         CASE WHEN c_custkey % 89 = 11 THEN ''
               WHEN n_name = 'NATION_0' THEN 'USA'
               WHEN n_name = 'NATION_1' THEN 'UK' ELSE n_name END AS country
-  FROM (SELECT *, unnest(CASE WHEN c_custkey % 97 IN (10, 15) THEN [1, 2] ELSE [1] END) AS copy
+  FROM (SELECT *, unnest(CASE WHEN c_custkey % 89 IN (5, 29) THEN [1, 2] ELSE [1] END) AS copy
         FROM customer) c
   JOIN nation ON c_nationkey = n_nationkey),
 raw_products AS (
   SELECT 'P' || p_partkey AS product_id, p_name AS product_name,
-         CASE WHEN p_partkey % 30 = 12 THEN '' ELSE p_type END AS category,
-         CASE WHEN p_partkey % 30 = 5 THEN CAST(-49.99 AS DECIMAL(12,2))
-              WHEN p_partkey % 30 = 20 THEN NULL
+         CASE WHEN p_partkey % 41 = 9 THEN '' ELSE p_type END AS category,
+         CASE WHEN p_partkey % 41 = 3 THEN CAST(-7.25 AS DECIMAL(12,2))
+              WHEN p_partkey % 41 = 17 THEN NULL
               ELSE CAST(p_retailprice AS DECIMAL(12,2)) END AS price,
-         CAST(CASE WHEN p_partkey % 30 = 18 THEN -10 ELSE p_size END AS INTEGER) AS stock
+         CAST(CASE WHEN p_partkey % 41 = 26 THEN -3 ELSE p_size END AS INTEGER) AS stock
   FROM part),
 raw_orders AS (
-  SELECT CASE WHEN o_orderkey % 5000 = 4999 THEN '' ELSE 'O' || o_orderkey END AS order_id,
-         CASE WHEN o_orderkey % 200 = 100 THEN NULL ELSE 'C' || o_custkey END AS customer_id,
-         CASE WHEN o_orderkey % 200 = 0 THEN '2025-02-30'
-              WHEN o_orderkey % 200 = 150 THEN '2099-01-01'
+  SELECT CASE WHEN o_orderkey % 4900 = 4801 THEN '' ELSE 'O' || o_orderkey END AS order_id,
+         CASE WHEN o_orderkey % 190 = 77 THEN NULL ELSE 'C' || o_custkey END AS customer_id,
+         CASE WHEN o_orderkey % 190 = 13 THEN '2024-06-31'
+              WHEN o_orderkey % 190 = 149 THEN '2031-05-09'
               ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
-         CASE WHEN o_orderkey % 200 = 125 THEN NULL
+         CASE WHEN o_orderkey % 190 = 31 THEN NULL
               WHEN o_orderstatus = 'F' THEN 'Delivered'
               WHEN o_orderstatus = 'P' THEN 'Cancelled'
               WHEN o_orderkey % 2 = 0 THEN 'Shipped' ELSE 'Processing' END AS status,
          CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount
   FROM orders),
 raw_order_items AS (
-  SELECT CASE WHEN l_orderkey % 1000 = 999 AND l_linenumber = 1 THEN ''
+  SELECT CASE WHEN l_orderkey % 930 = 607 AND l_linenumber = 1 THEN ''
               ELSE 'OI' || l_orderkey || '-' || l_linenumber END AS order_item_id,
          'O' || l_orderkey AS order_id, 'P' || l_partkey AS product_id,
-         CAST(CASE WHEN (l_orderkey + l_linenumber) % 500 = 7 THEN 0
+         CAST(CASE WHEN (l_orderkey + l_linenumber) % 470 = 19 THEN 0
                    ELSE l_quantity END AS INTEGER) AS quantity,
-         CASE WHEN l_partkey % 30 = 5 THEN CAST(-49.99 AS DECIMAL(12,2))
-              WHEN l_orderkey % 700 = 3 THEN NULL
+         CASE WHEN l_partkey % 41 = 3 THEN CAST(-7.25 AS DECIMAL(12,2))
+              WHEN l_orderkey % 640 = 11 THEN NULL
               ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END AS price
   FROM lineitem),
 raw_payments AS (
-  SELECT CASE WHEN part = 2 THEN 'PAYB' || o_orderkey
-              WHEN o_orderkey % 1000 = 333 THEN '' ELSE 'PAY' || o_orderkey END AS payment_id,
+  SELECT CASE WHEN part = 2 THEN 'B' || o_orderkey
+              WHEN o_orderkey % 870 = 215 THEN '' ELSE 'A' || o_orderkey END AS payment_id,
          'O' || o_orderkey AS order_id,
-         CASE WHEN part = 2 THEN 'PayPal' WHEN o_orderkey % 4 = 0 THEN 'Credit Card'
-              WHEN o_orderkey % 4 = 1 THEN 'PayPal' WHEN o_orderkey % 4 = 2 THEN 'Debit Card'
-              ELSE 'Bank Transfer' END AS payment_method,
-         CASE WHEN part = 2 THEN CAST(10.01 AS DECIMAL(12,2))
-              WHEN o_orderkey % 200 = 50 THEN CAST(-50 AS DECIMAL(12,2))
-              WHEN o_orderkey % 200 = 75 THEN CAST(0 AS DECIMAL(12,2))
-              WHEN o_orderkey % 200 = 60 THEN NULL
+         CASE WHEN part = 2 THEN 'wallet' WHEN o_orderkey % 4 = 0 THEN 'card'
+              WHEN o_orderkey % 4 = 1 THEN 'wallet' WHEN o_orderkey % 4 = 2 THEN 'cash'
+              ELSE 'voucher' END AS payment_method,
+         CASE WHEN part = 2 THEN CAST(6.45 AS DECIMAL(12,2))
+              WHEN o_orderkey % 190 = 43 THEN CAST(-12.5 AS DECIMAL(12,2))
+              WHEN o_orderkey % 190 = 88 THEN CAST(0 AS DECIMAL(12,2))
+              WHEN o_orderkey % 190 = 121 THEN NULL
               ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS amount
-  FROM (SELECT *, unnest(CASE WHEN o_orderkey % 10 = 3 THEN [1, 2] ELSE [1] END) AS part
+  FROM (SELECT *, unnest(CASE WHEN o_orderkey % 9 = 4 THEN [1, 2] ELSE [1] END) AS part
         FROM orders))
 """
 
