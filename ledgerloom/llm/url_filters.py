@@ -11,7 +11,8 @@ Only DataFrame functions are used. Tables are joined by shuffles unless Spark it
 one below ``spark.sql.autoBroadcastJoinThreshold``; adaptive execution splits hot keys.
 
 What decides is the most specific active entry: URL, then longer path prefix, then
-host, then longer parent domain; of equals an allowing one. A NULL URL, or one without
+host, then longer parent domain; of equals an allowing one. A backslash counts as a slash, as
+browsers read it; an IPv6 address in brackets is a host without parent domains. A NULL URL, or one without
 ``scheme://host``, matches nothing, as does a NULL day. Events with a NULL in any column
 are left out; an addition and a removal on one day count as removed. Repeated
 captures (same id, URL and day) give one row. Empty tables give empty results or no match.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 KINDS = ("domain", "host", "prefix", "url")
 
 _REST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^#]*)"
-_HOST = r"^(?:[^/?@]*@)?([^/?:@]*)"
+_HOST = r"^(?:[^/?@]*@)?(\[[0-9A-Fa-f:.]*\]|[^/?:@]*)"
 _PATH = r"^[^/?]*([^?]*)"
 
 
@@ -36,7 +37,7 @@ def host(url: Column) -> Column:
 
 
 def _rest(url: Column) -> Column:
-    return F.regexp_extract(url, _REST, 1)
+    return F.translate(F.regexp_extract(url, _REST, 1), "\\", "/")
 
 
 def address(url: Column) -> Column:
@@ -56,7 +57,7 @@ def prefix(url: Column, depth: Column) -> Column:
 
 def parents(name: Column) -> Column:
     """The domains above a host, down to two labels."""
-    labels = F.split(name, r"\.")
+    labels = F.when(name.startswith("["), F.array(name)).otherwise(F.split(name, r"\."))
     n = F.size(labels)
     starts = F.when(n > 2, F.sequence(F.lit(2), n - 1)).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: F.array_join(F.slice(labels, i, n), "."))

@@ -84,7 +84,8 @@ def events(pages: DataFrame) -> DataFrame:
 
 def oracle() -> str:
     """The same query for DuckDB over ``pages``."""
-    rest = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^#]*)', 1)"
+    rest = "translate(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^#]*)', 1), '\\', '/')"
+    address = "\\[[0-9A-Fa-f:.]*\\]"
     lists = "\nUNION ALL ".join(
         f"SELECT '{name}' AS list, '{kind}' AS kind, {str(allows).lower()} AS allows, {share} AS share, "
         f"{spread} AS spread, {removed} AS removed, {again} AS again"
@@ -93,13 +94,13 @@ def oracle() -> str:
     return f"""
 WITH split AS (
   SELECT page_id, url, DATE '{FIRST_DAY}' + CAST((page_id * 53) % 365 AS INTEGER) AS day,
-         lower(regexp_replace(regexp_extract({rest}, '^(?:[^/?@]*@)?([^/?:@]*)', 1), '\\.+$', '')) AS host,
+         lower(regexp_replace(regexp_extract({rest}, '^(?:[^/?@]*@)?({address}|[^/?:@]*)', 1), '\\.+$', '')) AS host,
          {rest} AS rest
   FROM pages),
 cut AS (
   SELECT DISTINCT page_id, url, day, host, host || regexp_extract(rest, '^[^/?]*(.*)', 1) AS address,
          list_filter(string_split(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/'), lambda x: x <> '') AS parts,
-         string_split(host, '.') AS labels
+         CASE WHEN host LIKE '[%' THEN [host] ELSE string_split(host, '.') END AS labels
   FROM split),
 keyed AS (
   SELECT page_id, day, 'url' AS kind, address AS key, address AS named FROM cut WHERE host <> ''

@@ -8,6 +8,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import queries, url_filters, url_list
 
@@ -18,8 +19,9 @@ def parse(url):
     m = re.match(r"^[A-Za-z][A-Za-z0-9+.-]*://([^#]*)", url or "")
     if not m:
         return None
-    rest = m[1]
-    host = re.sub(r"\.+$", "", re.match(r"^(?:[^/?@]*@)?([^/?:@]*)", rest)[1]).lower()
+    rest = m[1].replace("\\", "/")
+    host = re.match(r"^(?:[^/?@]*@)?(\[[0-9A-Fa-f:.]*\]|[^/?:@]*)", rest)[1]
+    host = re.sub(r"\.+$", "", host).lower()
     path = re.match(r"^[^/?]*([^?]*)", rest)[1]
     return host, [x for x in path.split("/") if x], host + re.match(r"^[^/?]*(.*)", rest)[1]
 
@@ -52,6 +54,20 @@ def plain(url, day, events):
     return len(best), ",".join(sorted({b[4] for b in best})), "allow" if top[2] else "block", top[3]
 
 
+def test_hosts(spark):
+    urls = {
+        "http://[2001:DB8::1]:80/a/b": ("[2001:db8::1]", ["a", "b"], []),
+        "http://u:p@[::ffff:1.2.3.4]?x": ("[::ffff:1.2.3.4]", [], []),
+        "http://ex.com\\a\\b": ("ex.com", ["a", "b"], []),
+        "https://u@A.B.Ex.com.:8080/x?y\\z#f": ("a.b.ex.com", ["x"], ["b.ex.com", "ex.com"]),
+        "ftp://localhost": ("localhost", [], []),
+    }
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    name = url_filters.host(F.col("url"))
+    rows = df.select("url", name, url_filters.segments(F.col("url")), url_filters.parents(name)).collect()
+    assert {r[0]: tuple(r[1:]) for r in rows} == urls
+
+
 def world(seed):
     rng = random.Random(seed)
     hosts = ["a.com", "x.a.com", "y.x.a.com", "B.org", "b.org.", "localhost", "c.d.e.f"]
@@ -59,7 +75,10 @@ def world(seed):
         f"{rng.choice(['http', 'https', 'FTP'])}://{rng.choice(['', 'u:p@', 'www.'])}{rng.choice(hosts)}"
         f"{rng.choice(['', ':80', ''])}{rng.choice(['', '/', '/p', '/p/q', '//p', '/P?x=/z', '?q', '/p#f/g'])}"
         for _ in range(40)
-    ] + [None, "", "no url", "http://", "mailto:x@y", "http://é.com/ü"]
+    ] + [
+        None, "", "no url", "http://", "mailto:x@y", "http://é.com/ü", "http://[2001:db8::1]:80/a",
+        "http://u@[::FFFF:1.2.3.4]/x/y?q", "http://ex.com\\\\a\\\\b", "http://[2001:db8::1",
+    ]
     captures = [(i, rng.choice(urls), rng.choice([None] + [DAY + dt.timedelta(d) for d in range(0, 400, 13)])) for i in range(150)]
     captures += [captures[0], captures[1], (None, urls[0], DAY)]
     keys = {
