@@ -271,13 +271,24 @@ def documents(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def token(files: DataFrame, place: int) -> int:
-    """The id at ``place`` of the whole corpus, from one segment and without decoding it."""
+    """The id at ``place`` of the whole corpus, from one segment and without decoding it.
+
+    Two small reads: the segments' numbers, without any codes, tell which segment has the place;
+    its part and place in the part, as filters that reach the files, find its codes.
+    """
     found = (
-        segments(files)
+        segments(files.select("part", "before", "n_ids"))
         .where((F.col("start") <= place) & (place < F.col("start") + F.col("n_ids")))
-        .select("start", "codes")
+        .select("part", "before", "start")
         .first()
     )
     if found is None:
         raise IndexError(place)
-    return dac.Codes(bytes(found["codes"]))[place - found["start"]]
+    codes = codes_at(files, found["part"], found["before"]).first()["codes"]
+    return dac.Codes(bytes(codes))[place - found["start"]]
+
+
+def codes_at(files: DataFrame, part: int, before: int) -> DataFrame:
+    """The codes of one segment; an empty one may stand at the same place, so it must have ids."""
+    mine = (F.col("part") == part) & (F.col("before") == before) & (F.col("n_ids") > 0)
+    return files.where(mine).select("codes")

@@ -85,6 +85,9 @@ def test_any_token_of_the_corpus(spark, tmp_path):
         assert token_files.token(files, place) == stream[place]
     with pytest.raises(IndexError):
         token_files.token(files, len(stream))
+    plan = token_files.codes_at(files, 1, 0)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [", 1)[1]
+    assert "EqualTo(part,1)" in pushed and "EqualTo(before,0)" in pushed
 
 
 def test_empty_table(spark, tmp_path):
