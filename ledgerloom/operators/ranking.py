@@ -33,10 +33,13 @@ def with_rank(df: DataFrame, value: Column, name: str = "rank") -> DataFrame:
     bucket. Both are counted on distinct values, so a value shared by many rows
     costs one row, and a bucket holds no more distinct values than its width.
     The only window without partitions runs over the bucket counts. NULL ranks
-    last. The plan reads ``df`` twice; where that is dear, store it first.
+    last. The counts look at whole rows, by a digest of which nothing more is asked: so both uses
+    of ``df`` need the same columns, and what is below its last shuffle runs once for both.
     """
     rows = df.withColumn("_value", value)
-    per_value = rows.groupBy("_value").agg(F.count(F.lit(1)).alias("ties"))
+    digest = F.max(F.xxhash64(*df.columns)).alias("_digest")
+    per_value = rows.groupBy("_value").agg(F.count(F.lit(1)).alias("ties"), digest)
+    per_value = per_value.where(F.col("_digest").isNotNull()).drop("_digest")
     bucketed = per_value.withColumn(
         "bucket", F.coalesce(magnitude_bucket(F.col("_value")), F.lit(-(1 << 62)))
     )

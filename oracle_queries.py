@@ -360,6 +360,9 @@ QUERIES = {
     "monthly_revenue": (
         "SELECT order_month, CAST(cents AS DOUBLE) / 100 AS revenue, orders_count FROM months"
     ),
+    "monthly_revenue_daily": (
+        "SELECT order_month, CAST(cents AS DOUBLE) / 100 AS revenue, orders_count FROM months"
+    ),
     "revenue_growth": """
         SELECT order_month, CAST(cents AS DOUBLE) / 100 AS revenue, previous_month,
                CAST(previous_cents AS DOUBLE) / 100 AS previous_revenue,

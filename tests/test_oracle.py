@@ -33,11 +33,11 @@ def _sorted_rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    ours = {*entry_point.PLANS, *entry_point.STORED}
+    ours = {*entry_point.PLANS, *entry_point.STORED, *entry_point.KEPT}
     assert ours <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", [*entry_point.PLANS, *entry_point.STORED])
+@pytest.mark.parametrize("name", [*entry_point.PLANS, *entry_point.STORED, *entry_point.KEPT])
 def test_query_equals_sql(spark, database, name):
     df = entry_point.queries()[name](spark, FOLDER)
     result = database.execute(entry_point.oracle_sql()[name])

@@ -95,6 +95,14 @@ def test_rank_never_gathers_the_rows(catalog):
     assert below.lstrip().splitlines()[1].strip(" :+-").startswith("HashAggregate(keys=[bucket#")
 
 
+def test_rank_reads_its_input_once(catalog):
+    """Counts and rows share all that is below the last shuffle, each table is scanned once."""
+    ranked = catalog.top_customers()
+    ranked.collect()
+    final = _plan(ranked).split("== Initial Plan ==", 1)[0]
+    assert final.count("FileScan") == 3 and "ReusedExchange" in final
+
+
 def test_leaderboard_uses_a_top_k(catalog):
     plan = _plan(marts.clv_leaderboard(catalog.lifetime_value, catalog.clean("customers")))
     assert "TakeOrderedAndProject(limit=15" in plan
