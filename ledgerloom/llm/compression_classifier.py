@@ -131,11 +131,15 @@ def fit(
     text_col: str = "text",
     label_col: str = "quality",
     sample: int = SAMPLE,
+    longest: int = LONGEST,
+    dictionary: int = DICTIONARY,
 ) -> Model:
     """A model from the texts of ``docs`` that ``labels`` (id, 0 or 1) covers.
 
     A third of the sampled ids, by another hash, makes the dictionaries, the rest the
-    calibration. Both hashes are of the id, so the same rows are taken at every run.
+    calibration. Both hashes are of the id, so the same rows are taken at every run. Bounds of
+    the fit, not of the scores: ``sample`` ids per label, texts of up to ``longest`` characters,
+    ``dictionary`` bytes for each of the two dictionaries.
     """
     key = F.col("id").cast("string")
     known = (
@@ -150,14 +154,14 @@ def fit(
     chosen = parts[0].union(parts[1]).withColumn("build", F.pmod(F.crc32(key), F.lit(3)) == 0)
     # at most 2 * sample ids
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    rows = rows.where(F.length("text") <= LONGEST).join(F.broadcast(chosen), "id")
+    rows = rows.where(F.length("text") <= longest).join(F.broadcast(chosen), "id")
     built = {0: b"", 1: b""}
     # one text per id; whole texts until a dictionary is full, the most typical place last
     texts = rows.where("build").dropDuplicates(["id"]).orderBy("place").toLocalIterator()
     for r in texts:
-        if len(built[r["label"]]) < DICTIONARY:
+        if len(built[r["label"]]) < dictionary:
             built[r["label"]] += r["text"].encode()
-    model = Model(bad=built[0][-DICTIONARY:], good=built[1][-DICTIONARY:])
+    model = Model(bad=built[0][-dictionary:], good=built[1][-dictionary:])
     tested = rows.where("NOT build").dropDuplicates(["id"])
     counted = sizes(tested.withColumnRenamed("id", "doc"), model, "doc", "text")
     seen = [

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 from ledgerloom.llm import compression_classifier as c
 from ledgerloom.llm import queries
@@ -47,6 +49,37 @@ def test_held_out_accuracy_and_the_query(spark, tmp_path):
     assert len(held) > 80 and np.mean(held) > 0.97
 
 
+def test_scores_equal_plain_compression(spark):
+    """Each score from its definition: two sizes by the library, the logistic of their features."""
+    docs, labels = corpus(150)
+    docs += [(1000 + i, t) for i, (_, t) in enumerate(ODD)]
+    model = c.fit(documents(spark, docs), label_table(spark, labels), dictionary=20_000, longest=900)
+    assert max(len(model.good), len(model.bad)) <= 20_000
+    options = {"level": model.level, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+    bad, good = (
+        zstandard.ZstdCompressor(
+            dict_data=zstandard.ZstdCompressionDict(x, dict_type=zstandard.DICT_TYPE_RAWCONTENT), **options
+        )
+        for x in (model.bad, model.good)
+    )
+
+    def plain(text):
+        raw = text.encode()
+        b, g, n = len(bad.compress(raw)), len(good.compress(raw)), len(raw) + 16
+        shrunk = math.log((b + g) / n)
+        values = [(b - g) / n, (b - g) / (b + g), shrunk, shrunk**2, math.log(n)]
+        z = model.weights[0]
+        for x, centre, scale, weight in zip(values, model.centre, model.scale, model.weights[1:], strict=True):
+            z += weight * min(6, max(-6, (x - centre) / scale))
+        return b, g, 1 / (1 + math.exp(-min(30, max(-30, z))))
+
+    texts = dict(docs)
+    for r in c.classify(documents(spark, docs), model).collect():
+        b, g, score = plain(texts[r["doc_id"]] or "")
+        assert (r["bad_bytes"], r["good_bytes"]) == (b, g)
+        assert math.isclose(r["score"], score, rel_tol=1e-9)
+
+
 def test_held_out_labels_change_nothing(spark, tmp_path):
     docs, labels = corpus(150)
     found = []
