@@ -83,7 +83,7 @@ def _tables(seed):
     }
 
 
-@pytest.fixture(scope="module", params=[11])
+@pytest.fixture(scope="module", params=[11, 29])
 def both(spark, tmp_path_factory, request):
     """The same tables in both engines."""
     folder = tmp_path_factory.mktemp("random")
