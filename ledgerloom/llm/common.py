@@ -166,6 +166,7 @@ def per_text(
     make: Callable[[], Callable[[list[str]], list[pa.Array]]],
     id_col: str,
     text_col: str,
+    most: int = SLICE_BYTES,
 ) -> DataFrame:
     """One output row for each input row: the id and what ``make()`` computes from the text.
 
@@ -183,7 +184,7 @@ def per_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, most=most):
                 yield pa.RecordBatch.from_arrays([piece["id"], *compute(texts(piece))], names)
 
     return source.mapInArrow(run, out)

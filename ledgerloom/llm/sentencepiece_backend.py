@@ -212,6 +212,7 @@ class Encoded:
     round_trip: np.ndarray
 
 
+SLICE = 2 << 20  # bytes of text that are encoded at once; numbers about parts take 15 times as many
 KNOWN_PARTS = 200_000  # that a Python worker keeps with their ids
 
 
@@ -385,7 +386,7 @@ def encode(
 
         return compute
 
-    return per_text(docs, columns, make, id_col, text_col)
+    return per_text(docs, columns, make, id_col, text_col, most=SLICE)
 
 
 def decode(
