@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 
 from ledgerloom.functions.segments import Thresholds, segment_captions
-from ledgerloom.plans import dashboard, marts
+from ledgerloom.plans import dashboard, marts, pipeline
 from tests import rows as r
 
 D = Decimal
@@ -208,3 +208,52 @@ def test_latest_run(spark):
         "run_id string, run_time string",
     )
     assert dashboard.latest_run(runs).collect()[0]["run_id"] == "b"
+
+
+def test_marts_from_stored_paid_orders(spark):
+    """Orders that are repeated, also with other customers or months: sums as from the tables themselves."""
+    orders = r.cleaned(
+        spark,
+        "orders",
+        r.clean_order("O1", "C1", "2025-01-20"),
+        r.clean_order("O2", "C1", "2025-02-03"),
+        r.clean_order("O2", "C1", "2025-02-28"),
+        r.clean_order("O3", "C1", "2025-02-03"),
+        r.clean_order("O3", "C2", "2025-03-03"),
+        r.clean_order("O3", "C2", "2025-03-09"),
+        r.clean_order("O4", "C2", "2025-01-05"),
+        r.clean_order("O4", "C2", "2025-02-05"),
+        r.clean_order("O5", "C2", "2025-02-05"),
+        r.clean_order("O5", None, "2025-02-05"),
+        r.clean_order("O6", None, "2025-02-05"),
+        r.clean_order("O7", "C7", "2025-02-05", status="Cancelled"),
+        r.clean_order("O7", "C8", "2025-02-05"),
+        r.clean_order("O8", "C8", "2025-02-05"),
+        r.clean_order(None, "C8", "2025-02-05"),
+    )
+    paid = [("A1", "O1", "1.00"), ("A2", "O1", "0.25"), ("A3", "O2", "3.00"), ("A4", "O3", "7.01"), ("A5", None, "2.00")]
+    paid += [("A6", "O4", "0.50"), ("A7", "O5", "0.07"), ("A8", "O6", "9.00"), ("A9", "O7", "4.00"), ("B1", "O9", "1.00")]
+    payments = r.cleaned(spark, "payments", *[r.payment(*p) for p in paid])
+    plain, mixed = pipeline.paid_orders(spark, orders, payments)
+    assert {row["order_id"] for row in mixed.collect()} == {"O3", "O4", "O5"}
+    assert plain.count() == 4  # O1, O2, O6, O7
+    for stored, asked in (
+        (marts.stored_lifetime_value, marts.customer_lifetime_value),
+        (marts.stored_monthly_revenue, marts.monthly_revenue),
+    ):
+        found, wanted = stored(plain, mixed, orders), asked(orders, payments)
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+        assert found.dtypes == wanted.dtypes
+    every, none = pipeline.paid_orders(spark, orders.where("order_id < 'O3'"), payments)
+    assert none is None and every.count() == 2
+    none, every = pipeline.paid_orders(spark, orders.where("order_id IN ('O3', 'O4')"), payments)
+    assert none.count() == 0 and every.count() == 2
+    assert {tuple(x) for x in marts.stored_lifetime_value(none, every, orders).collect()} == {
+        ("C1", D("7.01"), 1, D("7.01")),
+        ("C2", D("15.02"), 2, D("3.76")),
+    }
+
+
+def test_paid_orders_shuffle_orders_and_payments_once(spark, tables):
+    plan = marts.paid_orders(tables["orders"], tables["payments"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
